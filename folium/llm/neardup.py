@@ -7,8 +7,8 @@ that keeps the other three symbols. A fingerprint is replicated to all anchors w
 words at distance at most 1 (the threshold) keep three common symbols and so meet at one anchor; for this
 code the ball of the radius alone suffices, the wider ball of radius plus threshold of the general
 scheme is not needed. With ``tables`` words a pair of similarity J is met unless all its words differ in
-two symbols or more: the chance is (1 - J**4 - 4 J**3 (1 - J))**tables, 0.003 at J = 0.6 and 9 tables,
-0.00002 at 0.75, and far less above.
+two symbols or more: the chance is (1 - J**4 - 4 J**3 (1 - J))**tables, 0.0005 at J = 0.6 and 12 tables,
+0.000003 at 0.7, and far less above.
 
 At each anchor fingerprints are compared by 64 further symbols of two bits and by set size; candidates
 are compared by 40 symbols of one byte; what remains is checked exactly on the shingle sets of the texts.
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from folium.functions.codepoints import Points, from_arrow, mix64, shingle_hashes, tokens
 from folium.runtime import Stage
 
-TABLES = 9
+TABLES = 12
 WORD = 4
 FIELD = 2**31 - 1
 COMPONENTS = 64

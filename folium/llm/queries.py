@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folium.functions.tokens import token_count
-from folium.llm import binpack, entity_splits, linkgroups, lookalike, mixing, neardup, split_items
+from folium.llm import binpack, entity_splits, linkgroups, lookalike, markup, mixing, neardup, qa_defects, split_items
 from folium.runtime import Stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +183,36 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 def p10_texts(spark: SparkSession, d: str) -> DataFrame:
     """Every document with its consistent form."""
     return lookalike.with_canonical_text(table(spark, d, "documents").select("doc_id", "text")).drop("text")
+
+
+# ---- 1: markup residue
+
+
+def _marked_rows(spark: SparkSession, d: str) -> DataFrame:
+    chunks = table(spark, d, "corpus_row").select(F.lit("corpus_row").alias("table_name"), F.col("id").alias("row_key"), F.col("doc_id").alias("path"), "text")
+    blocks = table(spark, d, "doc_block").select(F.lit("doc_block").alias("table_name"), F.col("block_id").alias("row_key"), F.col("source_path").alias("path"), "text")
+    return chunks.unionByName(blocks)
+
+
+#: The project of a documentation path stands for the host whose pages share a layout.
+_HOST = F.get(F.split(F.col("path"), "/"), F.lit(1))
+
+
+@query("p1_found")
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    out = markup.clean(_marked_rows(spark, d), ["table_name", "row_key"], _HOST, with_text=False)
+    return out.where("size(kinds) > 0 and row_key is not null").select("table_name", "row_key").distinct()
+
+
+@query("p1_texts")
+def p1_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Clean text of every chunk and block, with the constructs it held."""
+    return markup.clean(_marked_rows(spark, d), ["table_name", "row_key"], _HOST)
+
+
+# ---- 7: broken question and answer pairs
+
+
+@query("p7_found")
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return qa_defects.find_defects(table(spark, d, "qa_row"))

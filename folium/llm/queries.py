@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folium.functions.tokens import token_count
-from folium.llm import binpack, entity_splits, linkgroups, lookalike, markup, mixing, neardup, qa_defects, split_items
+from folium.llm import binpack, entity_splits, linkgroups, lookalike, markup, mixing, neardup, qa_defects, split_items, standins
 from folium.runtime import Stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,3 +216,17 @@ def p1_texts(spark: SparkSession, d: str) -> DataFrame:
 @query("p7_found")
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return qa_defects.find_defects(table(spark, d, "qa_row"))
+
+
+# ---- 5: stand-ins for content
+
+
+@query("p5_found")
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return standins.find(table(spark, d, "corpus_row")).select(F.col("key").alias("id"))
+
+
+@query("p5_corpus")
+def p5_corpus(spark: SparkSession, d: str) -> DataFrame:
+    """The corpus without the records that stand in for content."""
+    return standins.find(table(spark, d, "corpus_row").select("id", "project", "text"), keep_real=True)

@@ -42,7 +42,6 @@ TRUSTED = [
     r"(?:wip|todo|pendiente|tbd)\b.{0,30}(?:fill|later|redactar|completar|preencher).{0,10}", r"(?:content|contenido|conte[uú]do)\b.{0,12}(?:in preparation|coming soon|en preparaci[oó]n|en construcci[oó]n|em prepara[cç][aã]o|goes here|aqu[ií])", r"your (?:own )?(?:content|text) (?:goes )?here",
     r"pendiente de (?:redactar|completar|definir)", r"(?:replace|reemplace|substitua) (?:this|este|esta) .{0,40}", r"(?:insert|type|write|add|escrib[ae]|inserte|insira|introduzca|digite|escreva) (?:here|aqu[ií]|your text|your content|o seu texto|seu texto|su texto|el contenido).{0,40}",
     r"(?:click|haga clic|clique) (?:to|para) (?:add|agregar|adicionar|a[nñ]adir) (?:text|texto).{0,10}", r"(?:escriba|write|escreva) (?:una?|a|uma) (?:breve|short) (?:descripci[oó]n|description|descri[cç][aã]o).{0,60}", r"section title section body", r"(?:flujo|flow|fluxo|descripci[oó]n|description|descri[cç][aã]o|secci[oó]n|section) <n>",
-    r"(?:lorem|ipsum|dolor|sit|amet)(?: \w+){0,400}\b(?:lorem|ipsum|dolor|amet)\b.{0,4000}",
     # unfilled templates
     r"(?:\S+ ){0,6}<blank>.{0,40}<blank>.{0,60}",
     # error messages
@@ -52,6 +51,8 @@ TRUSTED = [
     r"(?:please )?(?:enable|allow|turn on|activate|active|habilite|ative|permita|debe habilitar|you (?:must|need to) enable) .{0,20}(?:javascript|scripts|cookies)\b.{0,80}", r"(?:javascript|scripts?) (?:is|are|no est[aá]|est[aá]|n[aã]o est[aá]) .{0,110}", r"(?:your browser|su navegador|seu navegador) (?:is not|no es|n[aã]o [eé]) .{0,90}", r"(?:checking|verifying|verificando|comprobando) (?:that|que|si|if) .{0,80}", r"(?:loading|cargando|carregando)\b.{0,40}",
 ]
 TRUSTED_FORM = re.compile("(?:" + "|".join(TRUSTED) + ")", re.I)
+# Words of the usual blind text.
+BLIND_WORDS = {"lorem", "ipsum", "dolor", "sit", "amet"}
 FILLER = re.compile(r"(?P<u>\b[^\W\d_]{3,}(?: [^\W\d_]{2,}){0,3})(?:[\s,.;]+(?P=u)){2,}[.!,\s]*", re.I)
 
 BLANK = re.compile(r"\{\{\s*[\w.-]+\s*\}\}|\$\{\w+\}|<%=?[^%<>]*%>|@@\w+@@|%[A-Za-z]\w+%|_{4,}|\[(?:INSERT|INSERTAR|INSERIR)\b[^\]\n]*\]|\bX{3,}\b|<(?!/)(?!(?:br|hr|p|b|i|a|ul|li|ol|h[1-6]|pre|code|body|center|title|noscript|summary|details|table|tr|td|th|div|span|strong|em|ref)>)[a-z]+(?:-[a-z0-9]+)*>")
@@ -84,7 +85,11 @@ def trusted(text: str) -> bool:
         return False
     t = normal(body(text))
     core = t.strip(" .…!¡?¿_()[]*-")
-    if not core or len(core) > 600 and "lorem" not in core.lower() and "ipsum" not in core.lower():
+    words = re.findall(r"[^\W\d_]+", core.lower())
+    blind = [w for w in words if w in BLIND_WORDS]
+    if len(set(blind)) > 1 and len(blind) * 8 >= len(words):
+        return True
+    if not core or len(core) > 600:
         return False
     core = re.sub(r"[\s.…]*[\[(]?<n>[\])]?$", "", core) if not re.search(r"(?:ref|id|flujo|flow|fluxo|descripci|descri|secci|section)\W*(?:\w+ )?[\[(]?<n>", core, re.I) else core
     m = TRUSTED_FORM.fullmatch(core.strip(" .…!¡?¿_()[]*-"))

@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -81,8 +82,12 @@ def body(text: str) -> str:
 
 def trusted(text: str) -> bool:
     """Whether the whole record has a trusted form."""
-    if not text or len(text) > 4000:
+    if not text:
         return False
+    if len(text) > 700:  # so long a record is blind text or one phrase over and over, or has no trusted form
+        start = set(re.findall(r"[^\W\d_]+", text[:700].lower()))
+        if len(start) > 12 and len(start & BLIND_WORDS) < 2:
+            return False
     t = normal(body(text))
     core = t.strip(" .…!¡?¿_()[]*-")
     words = re.findall(r"[^\W\d_]+", core.lower())
@@ -96,16 +101,19 @@ def trusted(text: str) -> bool:
     return bool(m) or bool(FILLER.fullmatch(t.strip()))
 
 
-def passages(text: str) -> list[str]:
+def passages(text: str) -> Iterator[str]:
     """Normalised passages (lines and sentences) of a record, without its title; a bare mark joins the one before."""
-    out: list[str] = []
-    for x in PASSAGE.split(BLANK.sub(" <blank> ", body(text))):
+    held = ""
+    for x in PASSAGE.split(body(text)):
         p = normal(x)
-        if out and MARK.fullmatch(p):
-            out[-1] += " " + p
+        if held and MARK.fullmatch(p):
+            held += " " + p
         elif FEATURE.search(p):
-            out.append(p)
-    return out
+            if held:
+                yield held
+            held = p
+    if held:
+        yield held
 
 
 def features(passage: str) -> list[str]:
@@ -159,8 +167,12 @@ class Model:
         """Whether all passages of the record stand in for content."""
         if not text:
             return False
-        ps = passages(text)
-        return bool(ps) and all(self.score(p) > MARGIN for p in ps)
+        some = False
+        for p in passages(text):  # the first passage of real content decides
+            some = True
+            if self.score(p) <= MARGIN:
+                return False
+        return some
 
 
 def _hash(text: str) -> int:

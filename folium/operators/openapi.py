@@ -67,7 +67,9 @@ def operation_lines(spec: dict, path: str, method: str, op: dict) -> Iterator[st
             yield f"{title}: {op[key]}"
     if op.get("parameters"):
         yield "Parameters:"
-        for p in filter(None.__ne__, (resolved(spec, x) for x in op["parameters"])):
+        for p in (resolved(spec, x) for x in op["parameters"]):
+            if p is None:  # a broken reference
+                continue
             schema = p.get("schema", {})
             need = " [required]" if p.get("required") else ""
             yield f"  - {p.get('name', '?')} (in: {p.get('in', '?')}, type: {schema.get('type', '?')}){_values(schema)}{need}: {p.get('description', '')}"

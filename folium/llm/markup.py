@@ -181,7 +181,7 @@ class _Extract(HTMLParser):
         self.lost, self.out = lost, []
         self.stack: list[tuple[str, str]] = []
         self.skip = 0
-        self.cells: list[str] | None = None
+        self.first_cell = True
 
     def _emit(self, s: str) -> None:
         if not self.skip:
@@ -200,10 +200,12 @@ class _Extract(HTMLParser):
             self.stack.append((tag, parent + generalised(tag, attrs)))
             if self.stack[-1][1] in self.lost or tag in DROPPED_TAGS:
                 self.skip += 1
+        if tag == "tr":
+            self.first_cell = True
         if tag in ("td", "th"):
-            if self.out and not self.out[-1].endswith(("\n", "\x01")):
+            if not self.first_cell:
                 self._emit("\t")
-            self._emit("\x01")
+            self.first_cell = False
         elif tag == "br":
             self._emit("\n")
         elif tag in BLOCK_TAGS:
@@ -273,7 +275,7 @@ def _extract_html(text: str, lost: frozenset[str]) -> str:
     p = _Extract(lost)
     p.feed(safe)
     p.close()
-    return "".join(p.out).replace("\x01", "").replace("\x02", "<").replace("\x03", "&")
+    return "".join(p.out).replace("\x02", "<").replace("\x03", "&")
 
 
 def _pipe_tables(text: str, kinds: set[str]) -> str:
@@ -429,7 +431,7 @@ def convert(text: str | None, lost: frozenset[str] = frozenset()) -> tuple[str |
         return text, []
     for _ in range(2):  # a held formula may lie inside a held span
         t = re.sub("\x00(\\d+)\x00", lambda m: kept[int(m.group(1))], t)
-    return BLANKS.sub("\n\n", t).strip(), sorted(kinds)
+    return BLANKS.sub("\n\n", t).strip(" \n"), sorted(kinds)
 
 
 #: Pages of a host that must hold a path before it can lose, and the share of link or script text that loses.

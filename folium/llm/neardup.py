@@ -102,10 +102,12 @@ def _signature(batch: pa.RecordBatch, shingle: int, min_tokens: int) -> pa.Recor
     if not len(keep):
         return None
     pick = of[keep]
+    kind_hash = {k: int.from_bytes(hashlib.md5(k.encode()).digest()[:8], "little", signed=True) for k in set(kinds)}
+    kh = np.array([kind_hash[k] for k in kinds], np.int64)[keep]
     binary = lambda m: pa.array([x.tobytes() for x in m], pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array(cid[pick]), batch.column(0).take(pa.array(keep)), pa.array(size[pick]), pa.array(f0[pick]), pa.array(f1[pick]), binary(words[pick]), binary(sketch[pick])],
-        names=["cid", "id", "size", "f0", "f1", "words", "sketch"],
+        [pa.array(cid[pick]), batch.column(0).take(pa.array(keep)), pa.array(kh), pa.array(size[pick]), pa.array(f0[pick]), pa.array(f1[pick]), binary(words[pick]), binary(sketch[pick])],
+        names=["cid", "id", "kh", "size", "f0", "f1", "words", "sketch"],
     )
 
 
@@ -132,7 +134,8 @@ def _spread(batches):
         if not n:
             continue
         words = np.frombuffer(b"".join(b.column("words").to_pylist()), np.uint32).reshape(n, -1)
-        a = anchors_of(words)
+        kinds = b.column("kh").to_numpy(zero_copy_only=False).view(np.uint64)
+        a = mix64(anchors_of(words) + kinds[:, None])  # texts of different kinds never meet
         rep = a.shape[1]
         col = lambda name: np.repeat(b.column(name).to_numpy(zero_copy_only=False), rep)
         arrays = [a.ravel().view(np.int64), col("cid"), col("size"), col("f0"), col("f1")]
@@ -334,7 +337,7 @@ class NearDuplicates:
         self.sketch_least = max(0.0, j - 3.9 * math.sqrt(j * (1 - j) / SKETCH))
         self.ratio = math.ceil(-math.log(j) / math.log(1.05)) + 1
 
-        schema = "cid long, id string, size int, f0 long, f1 long, words binary, sketch binary"
+        schema = "cid long, id string, kh long, size int, f0 long, f1 long, words binary, sketch binary"
 
         def signatures(batches, shingle=shingle, min_tokens=min_tokens):
             for b in batches:
@@ -350,7 +353,7 @@ class NearDuplicates:
 
     def pairs(self) -> DataFrame:
         """``a, b, similarity`` (a < b): all pairs of classes at or above the threshold."""
-        names = ("size", "f0", "f1", "words")
+        names = ("kh", "size", "f0", "f1", "words")
         reps = self.signed.groupBy("cid").agg(*[F.first(c).alias(c) for c in names])
         n = self.signed.count()
         spread = reps.mapInArrow(_spread, "anchor long, cid long, size int, f0 long, f1 long")

@@ -62,6 +62,7 @@ PASSAGE = re.compile(r"(?<=[.!?…])\s+|\n+")
 NUMBER = re.compile(r"\b[0-9a-z]*\d[0-9a-z]*(?:[.,]\d+)*\b", re.I)
 NAME = re.compile(r"\b[A-Za-z]+(?:_[A-Za-z0-9]+)+\b|\b[a-z]+(?:[A-Z][a-z0-9]*)+\b")
 FEATURE = re.compile(r"<blank>|<n>|<name>|[^\W\d_]+|[/\\{}=;|]")
+WEAK = {"^", "$", "<n>", "<name>"}
 MARK = re.compile(r"\W*(?:ref\W+)?(?:<n>|<blank>)?\W*", re.I)
 TITLE = re.compile(r"[#=\s]*[^\W\d_][^\n.!?:;{}<>=|]{0,60}?[=\s]*\n\s*\n")
 
@@ -118,7 +119,7 @@ def passages(text: str) -> Iterator[str]:
 
 def features(passage: str) -> list[str]:
     w = FEATURE.findall(passage.lower())
-    return [*w, *(f"{a} {b}" for a, b in zip(["^", *w], [*w, "$"]))]
+    return [*w, *(f"{a} {b}" for a, b in zip(["^", *w], [*w, "$"]) if a not in WEAK or b not in WEAK)]
 
 
 class Model:

@@ -260,13 +260,12 @@ def test_near_empty_table(spark):
 
 GOOD = [("¿Qué conserva el campo a_b?", "El campo a_b conserva las tarifas vigentes una vez por semana.", "El campo a_b de la cola conserva las tarifas vigentes una vez por semana."),
         ("What does the job x_y do?", "It runs every 5 minutes and compares the current rates once a week", "The job x_y runs every 5 minutes and compares the current rates once a week."),
-        ("What is c_d used for?", "The field c_d keeps the net amounts once a week.", "The field c_d of the queue keeps the net amounts once a week."),
         ("¿Cada cuánto corre el job x_y?", "Cada 5 minutos", "El job x_y corre cada 5 minutos y compara las tarifas."), ("¿Puede la cola procesar el costo?", "No.", "La cola no puede procesar el costo."),
         ("What is the default value of z_k?", "null", "The parameter z_k is null by default.")]
 
 
 def test_pair_defects(spark):
-    rows = [(f"g{i}-{k}", f"{q} ({k})", a.replace("5", str(k + 1)), e.replace("5", str(k + 1))) for i, (q, a, e) in enumerate(GOOD) for k in range(60)]
+    rows = [(f"g{i}-{k}", f"{q} ({k})", a.replace("5", str(k + 1)) + ("." if k % 3 and a.endswith("week") else ""), e.replace("5", str(k + 1))) for i, (q, a, e) in enumerate(GOOD) for k in range(60)]
     q, _, e = GOOD[0]
     eq, ea, ee = GOOD[1]
     bad = {

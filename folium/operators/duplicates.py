@@ -25,13 +25,15 @@ def latest_rows(df: DataFrame, key: str, stamp: str) -> DataFrame:
     return best.select(key, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
 
 
-def mark_duplicates(df: DataFrame, key: str, text: str, order: Column) -> DataFrame:
+def mark_duplicates(df: DataFrame, key: str, text: str | None, order: Column) -> DataFrame:
     """``df`` with ``content_hash`` and ``duplicate_of``: the first row of its hash in ``order``, null for that row.
 
+    Without ``text`` the column ``content_hash`` must be there already, so that no text is shuffled.
+
     The first row of each hash comes from an aggregate with map-side combining and is joined back, so a
     text that makes up a third of the table is no single task's window.
     """
-    hashed = df.withColumn("content_hash", fingerprint(text)).withColumn("_order", order)
+    hashed = (df.withColumn("content_hash", fingerprint(text)) if text else df).withColumn("_order", order)
     first = hashed.groupBy("content_hash").agg(F.min(F.struct("_order", key)).alias("_f"), F.count("*").alias("_n"))
     heads = first.where("_n > 1").select("content_hash", F.col(f"_f.{key}").alias("_first"))
     out = hashed.join(heads, "content_hash", "left")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folium.functions import text as tx
 from folium.functions.html_text import html_text
-from folium.operators import balance, components, duplicates, packing, quality, questions
+from folium.operators import balance, components, duplicates, embeddings, markdown, packing, quality, questions
 from folium.plans import pipeline, reports
 from folium.plans.registry import query
 from folium.runtime import Stage, table
@@ -39,9 +39,10 @@ _ROWS_SQL = "(SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION B
 _QA_SQL = "(SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY created_at DESC) AS rn FROM qa_row) WHERE rn = 1)"
 
 
-def _rows(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    """The latest row of every chunk id, with only the wanted columns carried."""
-    df = table(spark, d, "corpus_row").select("id", "ingested_at", *[c for c in columns if c not in ("id", "ingested_at")])
+def _rows(spark: SparkSession, d: str, *columns: str, **derived: Column) -> DataFrame:
+    """The latest row of every chunk id; ``derived`` columns are computed before the shuffle, so texts stay behind."""
+    made = [c.alias(n) for n, c in derived.items()]
+    df = table(spark, d, "corpus_row").select("id", "ingested_at", *[c for c in columns if c not in ("id", "ingested_at")], *made)
     return duplicates.latest_rows(df, "id", "ingested_at")
 
 
@@ -112,9 +113,9 @@ def html_texts(spark: SparkSession, d: str) -> DataFrame:
     SELECT id, content_hash, CASE WHEN head <> id THEN head END AS duplicate_of FROM f""",
 )
 def exact_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    rows = _rows(spark, d, "text", "source_path", "chunk_index").where("text is not null")
+    rows = _rows(spark, d, "source_path", "chunk_index", content_hash=tx.fingerprint("text")).where("content_hash is not null")
     order = F.struct(F.split("source_path", "/"), "chunk_index")
-    return duplicates.mark_duplicates(rows, "id", "text", order).select("id", "content_hash", "duplicate_of")
+    return duplicates.mark_duplicates(rows, "id", None, order).select("id", "content_hash", "duplicate_of")
 
 
 @query(
@@ -125,9 +126,9 @@ def exact_duplicates(spark: SparkSession, d: str) -> DataFrame:
     SELECT head AS duplicate_of, count(*) AS n_copies, min(id) AS smallest_copy FROM f WHERE head <> id GROUP BY head""",
 )
 def duplicate_clusters(spark: SparkSession, d: str) -> DataFrame:
-    rows = _rows(spark, d, "text", "source_path", "chunk_index").where("text is not null")
+    rows = _rows(spark, d, "source_path", "chunk_index", content_hash=tx.fingerprint("text")).where("content_hash is not null")
     order = F.struct(F.split("source_path", "/"), "chunk_index")
-    return duplicates.duplicate_clusters(duplicates.mark_duplicates(rows, "id", "text", order), "id")
+    return duplicates.duplicate_clusters(duplicates.mark_duplicates(rows, "id", None, order), "id")
 
 
 @query("repeated_blocks", f"SELECT {_hash('text')} AS content_hash, count(*) AS n FROM doc_block WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
@@ -215,11 +216,14 @@ def near_report(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- components and splits
 
+#: Reported similarity from which a pair links its documents.
+NEAR = 0.9
+
 
 def _doc_components(spark: SparkSession, d: str) -> DataFrame:
     """``doc_id, project, n_chunks, component``: documents linked by equal texts or reported pairs."""
     stage = Stage(spark, "docs")
-    rows = stage.put(_rows(spark, d, "doc_id", "text").withColumn("h", tx.fingerprint("text")).select("id", "doc_id", "h"))
+    rows = stage.put(_rows(spark, d, "doc_id", h=tx.fingerprint("text")).select("id", "doc_id", "h"))
     near = table(spark, d, "near_dedup_report").where(f"similarity >= {NEAR}").select(F.col("a").alias("u"), F.col("b").alias("v"))
     of = rows.select("id", "doc_id")
     near_docs = near.join(of.toDF("u", "du"), "u").join(of.toDF("v", "dv"), "v").select(F.col("du").alias("u"), F.col("dv").alias("v"))
@@ -229,10 +233,17 @@ def _doc_components(spark: SparkSession, d: str) -> DataFrame:
     return stage.put(per.join(grouped, "doc_id").withColumn("project", F.split("doc_id", "/")[1]))
 
 
-NEAR = 0.9
+_COMPONENTS_SQL = f"""
+    rows_ AS (SELECT id, doc_id, {_hash('text')} AS h FROM {_ROWS_SQL}),
+    pairs_ AS (
+      SELECT DISTINCT a.doc_id AS u, b.doc_id AS v FROM (SELECT DISTINCT doc_id, h FROM rows_) a JOIN (SELECT DISTINCT doc_id, h FROM rows_) b ON a.h = b.h AND a.doc_id <> b.doc_id
+      UNION SELECT x.doc_id, y.doc_id FROM near_dedup_report r JOIN rows_ x ON x.id = r.a JOIN rows_ y ON y.id = r.b WHERE r.similarity >= {NEAR} AND x.doc_id <> y.doc_id),
+    both_ AS (SELECT u, v FROM pairs_ UNION SELECT v, u FROM pairs_),
+    reach_ AS (SELECT DISTINCT doc_id AS node, doc_id AS label FROM rows_ UNION SELECT b.v, r.label FROM reach_ r JOIN both_ b ON b.u = r.node WHERE r.label < b.v),
+    comp_ AS (SELECT node AS doc_id, min(label) AS component FROM reach_ GROUP BY node)"""
 
 
-@query("doc_components")
+@query("doc_components", f"WITH RECURSIVE {_COMPONENTS_SQL} SELECT doc_id, component FROM comp_")
 def doc_components(spark: SparkSession, d: str) -> DataFrame:
     """Component of every document; an iterative algorithm, tested against union-find."""
     return _doc_components(spark, d).select("doc_id", "component")
@@ -245,26 +256,24 @@ def _split_docs(spark: SparkSession, d: str) -> DataFrame:
     return Stage(spark, "split").put(docs.join(split.select("component", "split"), "component"))
 
 
-@query("lpt_split")
-def lpt_split(spark: SparkSession, d: str) -> DataFrame:
-    """Split of every document by its component, balanced by chunks; tested against a plain loop."""
-    return _split_docs(spark, d).select("doc_id", "component", "split")
+def _lpt_sql(weights: str) -> str:
+    """CTEs ``w_, o_, f_`` that hand out (component, weight) one by one, heaviest first."""
+    goal = {"train": "o.total * (1 - 0.2::DOUBLE - 0.2::DOUBLE) - f.tr", "test": "o.total * 0.2::DOUBLE - f.te", "val": "o.total * 0.2::DOUBLE - f.va"}
+    pick = f"CASE WHEN {goal['train']} >= {goal['test']} AND {goal['train']} >= {goal['val']} THEN 'train' WHEN {goal['test']} >= {goal['val']} THEN 'test' ELSE 'val' END"
+    return f"""
+    w_ AS (SELECT component, weight, ('0x' || substr(md5(component || ':42'), 1, 15))::BIGINT AS tie FROM ({weights})),
+    o_ AS (SELECT *, row_number() OVER (ORDER BY weight DESC, tie, component) AS rn, sum(weight) OVER () AS total FROM w_),
+    f_ AS (
+      SELECT 0::BIGINT AS rn, 0::DOUBLE AS tr, 0::DOUBLE AS te, 0::DOUBLE AS va, NULL::VARCHAR AS component, 0::BIGINT AS weight, NULL::VARCHAR AS split
+      UNION ALL
+      SELECT o.rn, f.tr + CASE WHEN p = 'train' THEN o.weight ELSE 0 END, f.te + CASE WHEN p = 'test' THEN o.weight ELSE 0 END, f.va + CASE WHEN p = 'val' THEN o.weight ELSE 0 END,
+             o.component, o.weight, p
+      FROM f_ f JOIN o_ o ON o.rn = f.rn + 1, LATERAL (SELECT {pick} AS p))"""
 
 
 @query(
     "project_lpt_split",
-    """
-    WITH RECURSIVE w AS (SELECT doc_id AS component, count(*) AS weight, ('0x' || substr(md5(doc_id || ':42'), 1, 15))::BIGINT AS tie FROM source_rows GROUP BY doc_id),
-      o AS (SELECT *, row_number() OVER (ORDER BY weight DESC, tie, component) AS rn, sum(weight) OVER () AS total FROM w),
-      f AS (
-        SELECT 0::BIGINT AS rn, 0::DOUBLE AS tr, 0::DOUBLE AS te, 0::DOUBLE AS va, NULL::VARCHAR AS component, 0::BIGINT AS weight, NULL::VARCHAR AS split
-        UNION ALL
-        SELECT o.rn, f.tr + CASE WHEN p = 'train' THEN o.weight ELSE 0 END, f.te + CASE WHEN p = 'test' THEN o.weight ELSE 0 END, f.va + CASE WHEN p = 'val' THEN o.weight ELSE 0 END,
-               o.component, o.weight, p
-        FROM f JOIN o ON o.rn = f.rn + 1, LATERAL (SELECT CASE
-          WHEN o.total * (1 - 0.2::DOUBLE - 0.2::DOUBLE) - f.tr >= o.total * 0.2::DOUBLE - f.te AND o.total * (1 - 0.2::DOUBLE - 0.2::DOUBLE) - f.tr >= o.total * 0.2::DOUBLE - f.va THEN 'train'
-          WHEN o.total * 0.2::DOUBLE - f.te >= o.total * 0.2::DOUBLE - f.va THEN 'test' ELSE 'val' END AS p))
-    SELECT component, weight, split FROM f WHERE component IS NOT NULL""".replace("source_rows", "(SELECT project_version AS doc_id FROM source_file WHERE project_version IS NOT NULL)"),
+    f"WITH RECURSIVE {_lpt_sql('SELECT project_version AS component, count(*) AS weight FROM source_file WHERE project_version IS NOT NULL GROUP BY 1')} SELECT component, weight, split FROM f_ WHERE component IS NOT NULL",
 )
 def project_lpt_split(spark: SparkSession, d: str) -> DataFrame:
     """Versions balanced by their files over the splits, one by one from the heaviest."""
@@ -272,15 +281,37 @@ def project_lpt_split(spark: SparkSession, d: str) -> DataFrame:
     return balance.assign_by_weight(weights, balance.seeded_tie(F.col("component"), 42))
 
 
-@query("split_report")
+_SPLIT_SQL = f"""{_COMPONENTS_SQL}, {_lpt_sql('SELECT c.component, count(*) AS weight FROM rows_ r JOIN comp_ c ON c.doc_id = r.doc_id GROUP BY 1')},
+    docs_ AS (SELECT c.doc_id, c.component, f.split, split_part(c.doc_id, '/', 2) AS project, (SELECT count(*) FROM rows_ r WHERE r.doc_id = c.doc_id) AS n_chunks
+              FROM comp_ c JOIN f_ f ON f.component = c.component)"""
+
+
+@query("lpt_split", f"WITH RECURSIVE {_SPLIT_SQL} SELECT doc_id, component, split FROM docs_")
+def lpt_split(spark: SparkSession, d: str) -> DataFrame:
+    """Split of every document by its component, balanced by chunks."""
+    return _split_docs(spark, d).select("doc_id", "component", "split")
+
+
+_PER_SPLIT = ", ".join(f"count(DISTINCT component) FILTER (split = '{x}') AS components_{x}, CAST(coalesce(sum(n_chunks) FILTER (split = '{x}'), 0) AS BIGINT) AS chunks_{x}" for x in ("train", "val", "test"))
+
+
+@query(
+    "split_report",
+    f"""WITH RECURSIVE {_SPLIT_SQL}, p_ AS (SELECT project, count(DISTINCT component) AS n_components, count(DISTINCT doc_id) AS n_docs, {_PER_SPLIT} FROM docs_ GROUP BY project)
+    SELECT *, concat_ws('; ', CASE WHEN n_components = 1 THEN 'single component' END, CASE WHEN components_val = 0 THEN 'nothing in val' END,
+      CASE WHEN components_test = 0 THEN 'nothing in test' END) AS warnings FROM p_""",
+)
 def split_report(spark: SparkSession, d: str) -> DataFrame:
     return reports.split_report(_split_docs(spark, d))
 
 
-@query("new_split_leaks")
+@query(
+    "new_split_leaks",
+    f"WITH RECURSIVE {_SPLIT_SQL} SELECT r.h AS content_hash, count(DISTINCT d.split) AS n_splits FROM rows_ r JOIN docs_ d ON d.doc_id = r.doc_id WHERE r.h IS NOT NULL GROUP BY 1 HAVING count(DISTINCT d.split) > 1",
+)
 def new_split_leaks(spark: SparkSession, d: str) -> DataFrame:
     """Fingerprints in more than one of the new splits: there must be none."""
-    rows = _rows(spark, d, "doc_id", "text").withColumn("content_hash", tx.fingerprint("text"))
+    rows = _rows(spark, d, "doc_id", content_hash=tx.fingerprint("text"))
     return reports.leaks(rows.join(_split_docs(spark, d).select("doc_id", "split"), "doc_id"), "content_hash")
 
 
@@ -289,7 +320,7 @@ def new_split_leaks(spark: SparkSession, d: str) -> DataFrame:
     f"SELECT {_hash('text')} AS content_hash, count(DISTINCT split) AS n_splits FROM {_ROWS_SQL} WHERE text IS NOT NULL GROUP BY 1 HAVING count(DISTINCT split) > 1",
 )
 def stored_split_leaks(spark: SparkSession, d: str) -> DataFrame:
-    rows = _rows(spark, d, "text", "split").withColumn("content_hash", tx.fingerprint("text"))
+    rows = _rows(spark, d, "split", content_hash=tx.fingerprint("text"))
     return reports.leaks(rows, "content_hash")
 
 
@@ -312,8 +343,8 @@ def corpus_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query("counts_by_type", f"SELECT content_type, language, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM {_ROWS_SQL} GROUP BY ALL")
 def counts_by_type(spark: SparkSession, d: str) -> DataFrame:
-    rows = _rows(spark, d, "content_type", "language", "text")
-    return rows.groupBy("content_type", "language").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+    rows = _rows(spark, d, "content_type", "language", chars=F.length("text"))
+    return rows.groupBy("content_type", "language").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
 
 
 @query(
@@ -467,3 +498,28 @@ def qa_split_mismatch(spark: SparkSession, d: str) -> DataFrame:
     chunks = _rows(spark, d, "split").select(F.col("id").alias("source_chunk_id"), F.col("split").alias("chunk_split"))
     out = _qa(spark, d, "source_chunk_id", "split").join(chunks, "source_chunk_id")
     return out.where(~F.col("split").eqNullSafe(F.col("chunk_split"))).select("id", F.col("split").alias("qa_split"), "chunk_split")
+
+
+# ---- parsing
+
+
+@query("markdown_blocks")
+def markdown_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Every page of ``documents`` parsed as Markdown; the parser is tested on fixtures."""
+    pages = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    return markdown.markdown_blocks(pages).withColumn("section_path", tx.path_text("section_path"))
+
+
+@query("document_chunks")
+def document_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """Every page of ``documents`` from text to packed chunks."""
+    pages = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    blocks = Stage(spark, "pages").put(pipeline.flag_repeated(markdown.markdown_blocks(pages)))
+    return packing.chunks(blocks)
+
+
+@query("hashed_text_vectors")
+def hashed_text_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors of all chunks but API text, as the near-duplicate stage takes them."""
+    rows = table(spark, d, "corpus_row").where("content_type <> 'api_spec'")
+    return embeddings.with_vectors(rows, "id", "text")

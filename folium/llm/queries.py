@@ -31,13 +31,22 @@ def query(name: str, sql: str | None = None):
 # ---- 2: groups of links
 
 
-@query("p2_found")
+_P2_SQL = """
+    WITH RECURSIVE pairs_ AS (
+      SELECT source_path_a AS u, source_path_b AS v FROM near_dedup_report
+      WHERE source_path_a IS NOT NULL AND source_path_b IS NOT NULL AND source_path_a <> '' AND source_path_b <> ''),
+    both_ AS (SELECT u, v FROM pairs_ UNION SELECT v, u FROM pairs_),
+    reach_ AS (SELECT u AS node, u AS label FROM both_ UNION SELECT b.v, r.label FROM reach_ r JOIN both_ b ON b.u = r.node WHERE r.label < b.v),
+    group_ AS (SELECT node AS source_path, min(label) AS group_path FROM reach_ GROUP BY node)"""
+
+
+@query("p2_found", f"{_P2_SQL} SELECT group_path, source_path FROM group_ WHERE group_path <> source_path")
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     groups = linkgroups.link_groups(table(spark, d, "near_dedup_report"), "source_path_a", "source_path_b")
     return groups.where("node <> group").select(F.col("group").alias("group_path"), F.col("node").alias("source_path"))
 
 
-@query("p2_groups")
+@query("p2_groups", f"{_P2_SQL} SELECT source_path, group_path FROM group_")
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:
     """Every linked path with its group."""
     groups = linkgroups.link_groups(table(spark, d, "near_dedup_report"), "source_path_a", "source_path_b")
@@ -111,7 +120,20 @@ def _near(spark: SparkSession, d: str) -> neardup.NearDuplicates:
     return neardup.NearDuplicates(rows, "id", "text", "content_type", shingle=3, threshold=0.6, min_tokens=50)
 
 
-@query("p6_found")
+_P6_SQL = r"""
+    WITH r AS (SELECT DISTINCT id, content_type, lower(text) AS t, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS norm FROM corpus_row
+               WHERE content_type <> 'api_spec' AND id IS NOT NULL AND text IS NOT NULL),
+    k AS (SELECT content_type, norm, any_value(t) AS t, row_number() OVER () AS c FROM r GROUP BY content_type, norm),
+    w AS (SELECT c, content_type, regexp_extract_all(t, '[\p{L}\p{N}]+|[^\p{L}\p{N} \t\r\n]') AS ws FROM k),
+    s AS (SELECT DISTINCT c, content_type, ws[i] || chr(31) || ws[i + 1] || chr(31) || ws[i + 2] AS g FROM (SELECT c, content_type, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 50)),
+    n AS (SELECT c, count(*) AS n FROM s GROUP BY c),
+    o AS (SELECT a.c AS ca, b.c AS cb, count(*) AS both_ FROM s a JOIN s b ON a.g = b.g AND a.content_type = b.content_type AND a.c < b.c GROUP BY 1, 2),
+    p AS (SELECT ca, cb FROM o JOIN n x ON x.c = ca JOIN n y ON y.c = cb WHERE both_ >= 0.6 * (x.n + y.n - both_)),
+    m AS (SELECT r.id, k.c FROM r JOIN k USING (content_type, norm))
+    SELECT DISTINCT least(x.id, y.id) AS id_a, greatest(x.id, y.id) AS id_b FROM p JOIN m x ON x.c = ca JOIN m y ON y.c = cb WHERE x.id <> y.id"""
+
+
+@query("p6_found", _P6_SQL)
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return _near(spark, d).id_pairs()
 

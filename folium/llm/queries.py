@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folium.functions.tokens import token_count
@@ -216,20 +216,21 @@ def _marked_rows(spark: SparkSession, d: str) -> DataFrame:
     return chunks.unionByName(blocks)
 
 
-#: The project of a documentation path stands for the host whose pages share a layout.
-_HOST = F.get(F.split(F.col("path"), "/"), F.lit(1))
+def _host() -> Column:
+    """The project of a documentation path stands for the host whose pages share a layout."""
+    return F.get(F.split(F.col("path"), "/"), F.lit(1))
 
 
 @query("p1_found")
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    out = markup.clean(_marked_rows(spark, d), ["table_name", "row_key"], _HOST, with_text=False)
+    out = markup.clean(_marked_rows(spark, d), ["table_name", "row_key"], _host(), with_text=False)
     return out.where("size(kinds) > 0 and row_key is not null").select("table_name", "row_key").distinct()
 
 
 @query("p1_texts")
 def p1_texts(spark: SparkSession, d: str) -> DataFrame:
     """Clean text of every chunk and block, with the constructs it held."""
-    return markup.clean(_marked_rows(spark, d), ["table_name", "row_key"], _HOST)
+    return markup.clean(_marked_rows(spark, d), ["table_name", "row_key"], _host())
 
 
 # ---- 7: broken question and answer pairs

@@ -20,20 +20,19 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     clean = edges.where("u is not null and v is not null and u <> v")
     both = stage.put(clean.select("u", "v").unionByName(clean.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     labels = stage.put(both.select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node")))
+    held = labels
     while True:
         of_neighbour = labels.select(F.col("node").alias("v"), F.col("label").alias("nl"))
         best = both.join(of_neighbour, "v").groupBy("u").agg(F.min("nl").alias("best"))
         step = labels.join(best.withColumnRenamed("u", "node"), "node").select("node", "label", F.least("label", "best").alias("low"))
         step = stage.put(step)
         jump = step.select(F.col("node").alias("low"), F.col("low").alias("lower"))
-        jumped = step.join(jump, "low").select("node", "label", F.least("low", "lower").alias("new"))
-        jumped = stage.put(jumped)
+        moved = stage.put(step.join(jump, "low").select("node", "label", F.least("low", "lower").alias("new")))
         stage.drop(step)
-        if is_empty(jumped.where("new <> label")):
+        stage.drop(held)
+        held, labels = moved, moved.select("node", F.col("new").alias("label"))
+        if is_empty(moved.where("new <> label")):
             break
-        stage.drop(labels)
-        labels = stage.put(jumped.select("node", F.col("new").alias("label")))
-        stage.drop(jumped)
     unique = nodes.select("node").distinct()
     return unique.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("component"))
 

@@ -23,17 +23,15 @@ from folium.runtime import Stage, is_empty
 
 def _collapse(stage: Stage, parents: DataFrame) -> DataFrame:
     """Roots of a forest of (node, parent): each parent is replaced by its parent until nothing changes."""
-    current = stage.put(parents)
+    held = current = stage.put(parents)
     while True:
         up = current.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
         step = current.join(up, "parent", "left").select("node", "parent", F.coalesce("above", "parent").alias("root"))
         step = stage.put(step)
-        stage.drop(current)
-        moved = not is_empty(step.where("root <> parent"))
-        current = stage.put(step.select("node", F.col("root").alias("parent"))) if moved else step.select("node", "root")
-        if not moved:
-            return current
-        stage.drop(step)
+        stage.drop(held)
+        if is_empty(step.where("root <> parent")):
+            return step.select("node", "root")
+        held, current = step, step.select("node", F.col("root").alias("parent"))
 
 
 def link_groups(links: DataFrame, a: str, b: str) -> DataFrame:

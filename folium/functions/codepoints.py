@@ -8,11 +8,13 @@ table, and boundaries from comparisons of neighbours.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\p{L}\p{N} \t\r\n]"
 SYMBOL, WORD, SPACE = 0, 1, 2
@@ -27,6 +29,22 @@ def class_table() -> np.ndarray:
     return out
 
 
+#: Bytes of text that are held as code points at once.
+SLICE_BYTES = 2_000_000
+
+
+def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of whole rows of about ``limit`` bytes of text, so that memory does not follow the batch."""
+    n = batch.num_rows
+    if not n:
+        return
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(size, dtype=np.int64) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), n]
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        yield batch.slice(lo, hi - lo)
+
+
 @dataclass
 class Points:
     """Code points of a batch: ``cps`` of all rows in a row, ``off`` of n+1 row bounds, ``null`` mask."""

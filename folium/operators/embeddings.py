@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from folium.functions.codepoints import from_arrow, mix64
+from folium.functions.codepoints import from_arrow, mix64, slices
 
 DIMS = 384
 
@@ -37,7 +37,7 @@ def with_vectors(df: DataFrame, key: str, text: str, encode: Callable[[list[str]
     kind = dict(rows.dtypes)["key"]
 
     def run(batches):
-        for b in batches:
+        for b in (x for whole in batches for x in slices(whole, 1)):
             if b.num_rows:
                 v = np.asarray(encode(b.column(1).to_pylist()), np.float32)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(v), pa.list_(pa.float32()))], names=["key", "vector"])

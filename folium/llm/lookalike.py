@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folium.functions.codepoints import Points, from_arrow, to_arrow
+from folium.functions.codepoints import Points, from_arrow, slices, to_arrow
 from folium.runtime import Stage
 
 # Letters of other scripts that are drawn like a Latin letter.
@@ -220,7 +220,7 @@ def with_canonical_text(df: DataFrame, text: str = "text", out: str = "canonical
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
 
     def run(batches):
-        for b in batches:
+        for b in (x for whole in batches for x in slices(whole, at)):
             arrays = [*b.columns, canonical(b.column(at))]
             yield pa.RecordBatch.from_arrays(arrays, names=[*b.schema.names, out])
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folium.functions.codepoints import Points, from_arrow, mix64, shingle_hashes, tokens
+from folium.functions.codepoints import Points, from_arrow, mix64, shingle_hashes, slices, tokens
 from folium.runtime import Stage
 
 TABLES = 12
@@ -289,7 +289,7 @@ def class_id(kind: str, text: str) -> int:
 
 def _shingle_sets(shingle: int):
     def run(batches):
-        for b in batches:
+        for b in (x for whole in batches for x in slices(whole, 2)):
             cids, kinds, texts = (b.column(c).to_pylist() for c in ("cid", "kind", "text"))
             own = [i for i, c in enumerate(cids) if class_id(kinds[i], texts[i]) == c]  # an id may hold several texts
             if not own:
@@ -340,8 +340,8 @@ class NearDuplicates:
         schema = "cid long, id string, kh long, size int, f0 long, f1 long, words binary, sketch binary"
 
         def signatures(batches, shingle=shingle, min_tokens=min_tokens):
-            for b in batches:
-                out = _signature(b, shingle, min_tokens) if b.num_rows else None
+            for b in (x for whole in batches for x in slices(whole, 2)):
+                out = _signature(b, shingle, min_tokens)
                 if out is not None:
                     yield out
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from folium.functions.codepoints import from_arrow, tokens
+from folium.functions.codepoints import from_arrow, slices, tokens
 
 SENTENCE_ENDS = np.array([ord(c) for c in ".?!…。"], np.uint32)
 CLAUSE_ENDS = np.array([ord(c) for c in ",;:"], np.uint32)
@@ -97,9 +97,7 @@ def split_items(
         fields.append(T.StructField("text", T.StringType()))
 
     def run(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (x for whole in batches for x in slices(whole, len(keep))):
             col = b.column(len(keep))
             p = from_arrow(col)
             t = tokens(p)

@@ -168,6 +168,28 @@ def with_template_pairs(chunks: DataFrame) -> DataFrame:
 
 # ---- LLM adapter
 
+# The tool a model must call with its pairs, and the room it has for them.
+TOOL_NAME = "submit_qa_pairs"
+MAX_REPLY_TOKENS = 1536
+ANSWER_TYPES = ["extractive", "generative", "numeric", "boolean"]
+INSTRUCTIONS = (
+    "Write question/answer pairs in the language of the passage. Use nothing but the passage. Quote, word for word, the part of it "
+    "that proves each answer; leave out a pair that no quotation proves. Prefer concrete facts: limits, names, values, codes, conditions. "
+    "If the passage has no facts worth asking for, return an empty list."
+)
+
+
+def llm_request(project: str, section_path: str, text: str, max_pairs: int, model: str) -> dict[str, Any]:
+    """A request that forces the tool call, for clients that take one."""
+    item = {k: {"type": "string"} for k in ("question", "answer", "evidence_span")} | {"answer_type": {"type": "string", "enum": ANSWER_TYPES}}
+    pairs = {"type": "array", "items": {"type": "object", "properties": item, "required": list(item)}}
+    tool = {"name": TOOL_NAME, "description": "Takes the pairs.", "input_schema": {"type": "object", "properties": {"pairs": pairs}, "required": ["pairs"]}}
+    message = f"Project: {project}\nSection: {section_path}\nAt most {max_pairs} pairs.\n\nPassage:\n{text}"
+    return {
+        "model": model, "max_tokens": MAX_REPLY_TOKENS, "system": INSTRUCTIONS, "tools": [tool], "tool_choice": {"type": "tool", "name": TOOL_NAME},
+        "messages": [{"role": "user", "content": message}],
+    }
+
 ATTEMPTS = 3
 FIRST_WAIT = 2.0
 RETRIED_STATUS = {429, 500, 502, 503, 529}

@@ -105,6 +105,12 @@ def html_texts(spark: SparkSession, d: str) -> DataFrame:
 # ---- exact duplicates
 
 
+def _hashed_rows(spark: SparkSession, d: str) -> tuple[DataFrame, Column]:
+    """Written rows with their fingerprint, so that texts are read and hashed once, and their order."""
+    rows = _rows(spark, d, "source_path", "chunk_index", content_hash=tx.fingerprint("text")).where("content_hash is not null")
+    return Stage(spark, "hashed").put(rows), F.struct(F.split("source_path", "/"), "chunk_index")
+
+
 @query(
     "exact_duplicates",
     f"""
@@ -113,8 +119,7 @@ def html_texts(spark: SparkSession, d: str) -> DataFrame:
     SELECT id, content_hash, CASE WHEN head <> id THEN head END AS duplicate_of FROM f""",
 )
 def exact_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    rows = _rows(spark, d, "source_path", "chunk_index", content_hash=tx.fingerprint("text")).where("content_hash is not null")
-    order = F.struct(F.split("source_path", "/"), "chunk_index")
+    rows, order = _hashed_rows(spark, d)
     return duplicates.mark_duplicates(rows, "id", None, order).select("id", "content_hash", "duplicate_of")
 
 
@@ -126,8 +131,7 @@ def exact_duplicates(spark: SparkSession, d: str) -> DataFrame:
     SELECT head AS duplicate_of, count(*) AS n_copies, min(id) AS smallest_copy FROM f WHERE head <> id GROUP BY head""",
 )
 def duplicate_clusters(spark: SparkSession, d: str) -> DataFrame:
-    rows = _rows(spark, d, "source_path", "chunk_index", content_hash=tx.fingerprint("text")).where("content_hash is not null")
-    order = F.struct(F.split("source_path", "/"), "chunk_index")
+    rows, order = _hashed_rows(spark, d)
     return duplicates.duplicate_clusters(duplicates.mark_duplicates(rows, "id", None, order), "id")
 
 
@@ -447,7 +451,7 @@ def evidence_checks(spark: SparkSession, d: str) -> DataFrame:
 
 @query("quality_cascade", f"WITH {_CHECKED_SQL} SELECT id, evidence_verified, length_ok, first_seen AS not_near_duplicate_question, passed AS qc_passed FROM z")
 def quality_cascade(spark: SparkSession, d: str) -> DataFrame:
-    checked = quality.quality_checks(_candidates(spark, d), _ORDER)
+    checked = quality.quality_checks(_candidates(spark, d), _ORDER, Stage(spark, "checks"))
     return checked.select("id", "evidence_verified", "length_ok", "not_near_duplicate_question", "qc_passed")
 
 
@@ -458,7 +462,8 @@ _FINAL_SQL = f"""{_CHECKED_SQL},
 
 
 def _final(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    checked = Stage(spark, "qc").put(quality.quality_checks(_candidates(spark, d), _ORDER))
+    stage = Stage(spark, "qc")
+    checked = stage.put(quality.quality_checks(_candidates(spark, d), _ORDER, stage))
     return checked, quality.round_robin_cap(checked.where("qc_passed"), "doc_id", "chunk_index", [quality.type_priority("answer_type"), *_ORDER], 8)
 
 

@@ -83,7 +83,7 @@ def build_qa(
         made = made.unionByName(stage.put(llm).withColumn("generation_method", F.lit("llm")))
     context = corpus.select("id", "doc_id", "project", "project_version", "source_path", "section_path", "chunk_index", F.col("text").alias("chunk_text"), "split")
     candidates = made.where("question is not null").join(context, "id").withColumn("order_path", F.split("doc_id", "/"))
-    checked = stage.put(quality.quality_checks(candidates, QA_ORDER))
+    checked = stage.put(quality.quality_checks(candidates, QA_ORDER, stage))
     rank = [quality.type_priority("answer_type"), *QA_ORDER]
     final = quality.round_robin_cap(checked.where("qc_passed"), "doc_id", "chunk_index", rank, cap)
     final = final.withColumn("qa_id", F.concat(F.col("id"), F.lit("::qa"), (F.col("r") - 1).cast("string")))

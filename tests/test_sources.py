@@ -177,6 +177,12 @@ def test_retry_and_reply():
     assert questions.usable_pairs(items, "m") == [("q", "a", "e", "generative", "llm:m")] and questions.usable_pairs(None, "m") == []
 
 
+def test_llm_request_forces_the_tool():
+    r = questions.llm_request("p", "A > B", "text", 3, "m")
+    assert r["tool_choice"]["name"] == r["tools"][0]["name"] == "submit_qa_pairs" and r["max_tokens"] == 1536
+    assert "A > B" in r["messages"][0]["content"] and "text" in r["messages"][0]["content"]
+
+
 class FakeClient:
     def submit(self, project, section_path, text, max_pairs, model):
         if "boom" in text:

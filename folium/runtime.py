@@ -95,12 +95,13 @@ def join_bounded(
 ) -> DataFrame:
     """Join with ``right`` broadcast only if its counted rows are proven small, else shuffled.
 
-    The count is bounded by ``limit(max_rows + 1)``. Beyond the bound both sides are hashed on
+    The right side is written first, so that it is computed once for the count and the join. Beyond the bound both sides are hashed on
     ``on``; with ``salt`` > 1 the right side is replicated that often and the left side spread over
     the copies, so one hot key is shared by that many tasks. ``right`` must be unique on ``on``.
     """
     bound = min(max_rows, BROADCAST_BYTES // max(1, row_bytes))
-    if right.limit(bound + 1).count() <= bound:
+    right = Stage(left.sparkSession, "side").put(right)
+    if right.count() <= bound:
         return left.join(F.broadcast(right), on, how)
     if salt > 1:
         spread = left.withColumn("_salt", F.floor(F.rand(7) * salt).cast("int"))

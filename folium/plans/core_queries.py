@@ -528,3 +528,33 @@ def hashed_text_vectors(spark: SparkSession, d: str) -> DataFrame:
     """Vectors of all chunks but API text, as the near-duplicate stage takes them."""
     rows = table(spark, d, "corpus_row").where("content_type <> 'api_spec'")
     return embeddings.with_vectors(rows, "id", "text")
+
+
+@query(
+    "pipe_tables",
+    """
+    WITH l AS (SELECT id, list_transform(list_filter(string_split(text, chr(10)), lambda x: starts_with(ltrim(x), '|')),
+                 lambda x: list_transform(string_split(trim(trim(x), '|'), '|'), lambda y: trim(y))) AS cells FROM corpus_row WHERE contains(text, '|')),
+         r AS (SELECT id, cells[1:1] || list_filter(cells[3:], lambda r: len(r) = len(cells[1])) AS rows_ FROM l WHERE len(cells) >= 2)
+    SELECT id, len(rows_) AS n_rows, len(rows_[1]) AS n_columns, array_to_string(list_transform(rows_, lambda r: array_to_string(r, chr(9))), chr(10)) AS cells FROM r""",
+)
+def pipe_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Header and rows of every pipe table in the chunks, as tab-separated lines."""
+    rows = table(spark, d, "corpus_row").where("contains(text, '|')").select("id", tx.pipe_rows("text").alias("r")).where("r is not null")
+    joined = F.array_join(F.transform("r", lambda x: F.array_join(x, "\t")), "\n")
+    return rows.select("id", F.size("r").alias("n_rows"), F.size(F.get("r", F.lit(0))).alias("n_columns"), joined.alias("cells"))
+
+
+@query(
+    "line_offsets",
+    """
+    WITH l AS (SELECT block_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n
+               FROM (SELECT DISTINCT block_id, text FROM doc_block WHERE text IS NOT NULL))
+    SELECT block_id, CAST(n - 1 AS INT) AS line_no, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY block_id, text ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS char_start FROM l""",
+)
+def line_offsets(spark: SparkSession, d: str) -> DataFrame:
+    """First character of every line of every block, by a fold over the line lengths inside the row."""
+    blocks = table(spark, d, "doc_block").where("text is not null").select("block_id", "text").distinct()
+    ends = F.aggregate(F.split("text", "\n"), F.array(F.lit(0).cast("long")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(x) + 1)))
+    starts = F.slice(ends, 1, F.size(F.split("text", "\n")))
+    return blocks.select("block_id", F.posexplode(starts).alias("line_no", "char_start"))

@@ -185,7 +185,7 @@ def fit(df: DataFrame, text: str = "text") -> Model:
     rows = df.select(df[text].alias("t")).where("t is not null")
     n = max(1, rows.count())
     # unlabelled records are thinned by their hash so that about enough passages come, whatever the size
-    bound = int(-(2**63) + 2**64 * min(1.0, UNLABELLED / 2 / n))
+    bound = min(2**63 - 1, int(-(2**63) + 2**64 * min(1.0, UNLABELLED / 4 / n)))
 
     def run(batches):
         for b in batches:

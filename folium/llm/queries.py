@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from folium.functions.tokens import token_count
 from folium.llm import binpack, entity_splits, linkgroups, lookalike, markup, mixing, neardup, qa_defects, split_items, standins
-from folium.runtime import Stage, table
+from folium.runtime import Stage, join_bounded, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,12 +140,22 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 @query("p6_groups")
 def p6_groups(spark: SparkSession, d: str) -> DataFrame:
-    """Every record of a near-duplicate group: its class of equal texts, its group, and the class's links."""
-    near = _near(spark, d)
+    """One row per record compared: its class of equal texts, its group, and the class's links to other texts.
+
+    Copies share their class. A class without a link is a group of its own, with 0 links. Repeated rows count once;
+    an id with several texts has a row for each class.
+    """
+    return near_groups(_near(spark, d))
+
+
+def near_groups(near: neardup.NearDuplicates) -> DataFrame:
+    """``id, class_id, group_id, n_links`` of every member; the links are joined so that a hot class is spread."""
     pairs = near.stage.put(near.pairs())
     groups = linkgroups.link_groups(pairs, "a", "b").select(F.col("node").cast("long").alias("cid"), "group")
     links = pairs.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("n_links"))
-    return near.members().join(groups, "cid").join(links, "cid").select("id", F.col("cid").alias("class_id"), F.col("group").alias("group_id"), "n_links")
+    out = join_bounded(near.members(), groups.join(links, "cid"), ["cid"], "left", salt=16)
+    group, n_links = F.coalesce("group", F.col("cid").cast("string")), F.coalesce("n_links", F.lit(0).cast("long"))
+    return out.select("id", F.col("cid").alias("class_id"), group.alias("group_id"), n_links.alias("n_links"))
 
 
 # ---- 8: containers

@@ -256,6 +256,24 @@ def test_near_empty_table(spark):
     assert neardup.NearDuplicates(df, "id", "text", "kind").id_pairs().count() == 0
 
 
+def test_every_compared_record_has_a_group(spark, tmp_path):
+    from folium.llm import queries
+
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    copied, base, alone = ([rng.choice(words) for _ in range(80)] for _ in range(3))
+    edited = [*base[:40], "edit", *base[41:]]
+    rows = [(f"c{i}", " ".join(copied), "prose") for i in range(30)] + [("b0", " ".join(base), "prose"), ("b1", " ".join(base), "prose"), ("e", " ".join(edited), "prose")]
+    rows += [("u", " ".join(alone), "prose"), ("k", " ".join(copied), "code"), ("short", "a b c", "prose"), ("spec", " ".join(base), "api_spec"), ("null", None, "prose"), rows[0]]
+    spark.createDataFrame(rows, "id string, text string, content_type string").write.parquet(f"{tmp_path}/corpus_row.parquet")
+    out = queries.p6_groups(spark, str(tmp_path)).collect()
+    got = {r["id"]: (r["class_id"], r["group_id"], r["n_links"]) for r in out}
+    assert len(out) == len(got) == 35 and set(got) == {i for i, _, _ in rows} - {"short", "spec", "null"}
+    assert len({got[f"c{i}"] for i in range(30)}) == 1  # copies without a variant are one class and group
+    assert all(got[i][1:] == (str(got[i][0]), 0) for i in ("c0", "u", "k")) and len({got[i][1] for i in ("c0", "u", "k", "e")}) == 4
+    assert got["b0"] == got["b1"] and got["b0"][0] != got["e"][0] and got["b0"][1:] == got["e"][1:] and got["e"][2] == 1
+
+
 # ---- 7
 
 GOOD = [("¿Qué conserva el campo a_b?", "El campo a_b conserva las tarifas vigentes una vez por semana.", "El campo a_b de la cola conserva las tarifas vigentes una vez por semana."),

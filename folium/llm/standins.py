@@ -2,8 +2,10 @@
 
 Method: positive-unlabelled naive Bayes by expectation-maximization. Records that a list of trusted
 forms matches as a whole (error messages, notices, placeholders, filler) are positive; all others are
-unlabelled. The model is fitted on a bounded sample: up to ``POSITIVES`` distinct trusted and
-``UNLABELLED`` distinct other passages, the ones with the smallest hashes, over the whole table. Trusted
+unlabelled. The model is fitted on a bounded sample: up to ``POSITIVES`` distinct trusted passages and
+``UNLABELLED`` distinct others of about ``RECORDS`` unlabelled records, the ones with the smallest hashes,
+over the whole table. Counts are weighted so that both classes stand for the same share of the table, and
+a larger table gives the same odds. Trusted
 passages keep their label; the posteriors of the others and the class weights are re-estimated until
 they settle. Then every passage of every record is scored, and a record stands in for content only if
 all its passages do, apart from a bare section title before them.
@@ -29,6 +31,8 @@ from folium.runtime import Stage
 #: Distinct trusted and other passages that the model is fitted on, at most.
 POSITIVES = 20_000
 UNLABELLED = 60_000
+#: Records that passages are taken from, about; in a larger table unlabelled ones are thinned and trusted ones weighted.
+RECORDS = 15_000
 ROUNDS = 8
 #: Pseudo-counts of each class, distributed like the features of both.
 SMOOTHING = 100.0
@@ -125,8 +129,8 @@ def features(passage: str) -> list[str]:
 class Model:
     """Log odds of features and of the classes."""
 
-    def __init__(self, positive: dict[str, int], unlabelled: dict[str, int]):
-        """Distinct passages with their counts in the sample."""
+    def __init__(self, positive: dict[str, float], unlabelled: dict[str, float]):
+        """Distinct passages with their weighted counts."""
         texts = [*positive, *unlabelled]
         times = np.array([*positive.values(), *unlabelled.values()], float)
         ids: dict[str, int] = {}
@@ -185,7 +189,8 @@ def fit(df: DataFrame, text: str = "text") -> Model:
     rows = df.select(df[text].alias("t")).where("t is not null")
     n = max(1, rows.count())
     # unlabelled records are thinned by their hash so that about enough passages come, whatever the size
-    bound = min(2**63 - 1, int(-(2**63) + 2**64 * min(1.0, UNLABELLED / 4 / n)))
+    share = min(1.0, RECORDS / n)
+    bound = min(2**63 - 1, int(-(2**63) + 2**64 * share))
 
     def run(batches):
         for b in batches:
@@ -201,12 +206,17 @@ def fit(df: DataFrame, text: str = "text") -> Model:
     counted = rows.mapInArrow(run, "good boolean, p string, n long").groupBy("good", "p").agg(F.sum("n").alias("n"))
     picked = Stage(df.sparkSession, "standins").put(counted)
 
-    def smallest(which: str, most: int) -> dict[str, int]:
-        got = picked.where(which).orderBy(F.xxhash64("p"), "p").limit(most).collect()
-        return {r["p"]: r["n"] for r in got}
+    total = {r["good"]: r["n"] for r in picked.groupBy("good").agg(F.sum("n").alias("n")).collect()}
 
-    good = smallest("good", POSITIVES)
-    return Model(good, {p: n for p, n in smallest("not good", UNLABELLED).items() if p not in good})
+    def smallest(good: bool, most: int, part: float) -> dict[str, float]:
+        """Passages whose counts add up to ``part`` of those of all passages of the kind."""
+        got = picked.where(F.col("good") == good).orderBy(F.xxhash64("p"), "p").limit(most).collect()
+        weight = part * total.get(good, 0) / max(1, sum(r["n"] for r in got))
+        return {r["p"]: r["n"] * weight for r in got}
+
+    # every trusted record was counted, but only a share of the others
+    good = smallest(True, POSITIVES, share)
+    return Model(good, {p: n for p, n in smallest(False, UNLABELLED, 1.0).items() if p not in good})
 
 
 def find(df: DataFrame, key: str = "id", text: str = "text", keep_real: bool = False) -> DataFrame:

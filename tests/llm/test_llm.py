@@ -194,6 +194,23 @@ def test_stand_ins_are_found(spark):
     assert standins.find(df.limit(0)).count() == 0
 
 
+def test_odds_do_not_move_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(standins, "UNLABELLED", 4000)
+    monkeypatch.setattr(standins, "RECORDS", 1000, raising=False)  # a quarter, as it was
+
+    def fitted(n):
+        rng = random.Random(n)
+        words = [a + b for a in ("alfa", "beta", "gama", "delta", "iota") for b in ("ro", "ta", "mi", "su")]
+        rows = [(" ".join(rng.choice(words) for _ in range(8)),) for _ in range(n)] + [(rng.choice(["Coming soon", "404 Not Found"]),) for _ in range(n // 10)]
+        return standins.fit(spark.createDataFrame(rows, "text string"))
+
+    small, large = fitted(900), fitted(18_000)
+    for f in ("coming", "found", "alfaro", "sumi", "deltata"):
+        assert abs(small.odds.get(f, 0) - large.odds.get(f, 0)) < 0.3, f
+    for text in ("Coming soon", "404 Not Found", "alfaro betata"):
+        assert abs(small.score(standins.normal(text)) - large.score(standins.normal(text))) < 0.8
+
+
 # ---- 6
 
 

@@ -90,8 +90,8 @@ def trusted(text: str) -> bool:
     if not text:
         return False
     if len(text) > 700:  # so long a record is blind text or one phrase over and over, or has no trusted form
-        start = set(re.findall(r"[^\W\d_]+", text[:700].lower()))
-        if len(start) > 12 and len(start & BLIND_WORDS) < 2:
+        low = text.lower()
+        if sum(w in low for w in BLIND_WORDS) < 2 and len(set(re.findall(r"[^\W\d_]+", low))) > 12:
             return False
     t = normal(body(text))
     core = t.strip(" .…!¡?¿_()[]*-")
@@ -199,7 +199,7 @@ def fit(df: DataFrame, text: str = "text") -> Model:
                 good = trusted(t)
                 if good or _hash(t) < bound:
                     for p in passages(t):
-                        got[(good, p[:400])] = got.get((good, p[:400]), 0) + 1
+                        got[(good, p)] = got.get((good, p), 0) + 1
             cols = [pa.array([k[0] for k in got], pa.bool_()), pa.array([k[1] for k in got], pa.string()), pa.array(list(got.values()), pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, names=["good", "p", "n"])
 

@@ -211,6 +211,15 @@ def test_odds_do_not_move_with_the_table(spark, monkeypatch):
         assert abs(small.score(standins.normal(text)) - large.score(standins.normal(text))) < 0.8
 
 
+def test_whole_passages_and_records_are_fitted(spark):
+    start = "el servicio de precios archiva los pedidos " * 12
+    rows = [(start + "alfa",), (start + "betaterm",), ("Coming soon",)]
+    assert "betaterm" in standins.fit(spark.createDataFrame(rows, "text string")).odds
+    real = " ".join(f"palabra{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(80))
+    assert len(real) > 700 and standins.trusted(real + " etcetera " * 6 + ". " + "Lorem ipsum dolor sit amet. " * 8)
+    assert not standins.trusted(real + " etcetera " * 6)
+
+
 # ---- 6
 
 

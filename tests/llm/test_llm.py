@@ -326,6 +326,14 @@ def test_pair_defects(spark):
     assert qa_defects.find_defects(df.limit(0)).count() == 0
 
 
+def test_refusal_after_a_lead_in():
+    q, a, e = GOOD[0]
+    for t in ("Gracias por su consulta. No puedo ayudar con esa solicitud.", "Hola. ¿Qué conserva el campo a_b? Lamentablemente no tengo información.", "Thank you for asking. I cannot answer that. Let me know if you need anything else."):
+        assert qa_defects.is_refusal(t, q, e) and qa_defects.is_refusal(t, q, None), t
+    for t in (f"{a} No puedo decir más.", "Conserva las tarifas. I cannot add more.", "Son 57 horas. No puedo decir más.", a):
+        assert not qa_defects.is_refusal(t, q, e) and not qa_defects.is_refusal(t, q, None), t
+
+
 # ---- 8
 
 

@@ -16,6 +16,7 @@ A null text stays null with no kinds, an empty one stays empty. The host may be
 
 from __future__ import annotations
 
+import hashlib
 import html
 import html.entities
 import re
@@ -116,17 +117,26 @@ def _dedent(code: str, indent: str) -> str:
     return "\n".join(x[len(indent) :] if indent and x.startswith(indent) else x for x in lines)
 
 
+#: Characters up to which a container's path is spelled out.
+LONG_PATH = 400
+
+
 def generalised(tag: str, attrs: list[tuple[str, str | None]]) -> str:
     """``tag.class`` with digits folded, the step of a container's path."""
     cls = next((v for k, v in attrs if k == "class" and v), None)
     return tag if not cls else f"{tag}.{re.sub(r'[0-9]+', '0', cls.split()[0].lower())}"
 
 
+def path_under(parent: str, tag: str, attrs: list[tuple[str, str | None]]) -> str:
+    """Path of a container within ``parent``; a long path is spelled by its digest, so any depth has one of bounded size."""
+    path = (parent + ">" if parent else "") + generalised(tag, attrs)
+    return path if len(path) <= LONG_PATH else hashlib.md5(path.encode("utf-8", "replace")).hexdigest()
+
+
 class _Containers(HTMLParser):
     """Text, link text and punctuation under every container path of a page."""
 
     KEPT = {"div", "section", "article", "aside", "nav", "header", "footer", "main", "ul", "ol", "table", "details", "form", "p", "body", "noscript", "script", "style"}
-    DEPTH = 6
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -137,9 +147,8 @@ class _Containers(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag == "a":
             self.link += 1
-        if tag in self.KEPT and len(self.stack) < self.DEPTH:
-            parent = self.stack[-1][1] + ">" if self.stack else ""
-            path = parent + generalised(tag, attrs)
+        if tag in self.KEPT:
+            path = path_under(self.stack[-1][1] if self.stack else "", tag, attrs)
             self.stack.append((tag, path))
             self.found[path][3] += 1
 
@@ -196,8 +205,7 @@ class _Extract(HTMLParser):
             self._emit(self.get_starttag_text() or "")
             return
         if tag in _Containers.KEPT:
-            parent = self.stack[-1][1] + ">" if self.stack else ""
-            self.stack.append((tag, parent + generalised(tag, attrs)))
+            self.stack.append((tag, path_under(self.stack[-1][1] if self.stack else "", tag, attrs)))
             if self.stack[-1][1] in self.lost or tag in DROPPED_TAGS:
                 self.skip += 1
         if tag == "tr":

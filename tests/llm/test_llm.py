@@ -93,6 +93,14 @@ def test_markup_votes_and_edges(spark):
     assert markup.clean(df.limit(0), ["key"], F.col("host")).count() == 0
 
 
+def test_deep_containers_vote(spark):
+    for depth in (8, 300):
+        deep = "<div>" * depth + '<div class="menu"><a href="x">one</a> <a href="y">two</a></div>' + "Real text, with marks." + "</div>" * depth
+        df = spark.createDataFrame([("h", f"k{i}", deep) for i in range(6)], "host string, key string, text string")
+        assert {r["clean_text"] for r in markup.clean(df, ["key"], F.col("host")).collect()} == {"Real text, with marks."}
+    assert max(map(len, markup.container_scores("<div class='abc'>" * 3000 + "x"))) <= markup.LONG_PATH
+
+
 # ---- 2
 
 

@@ -1,14 +1,19 @@
 """Template residue and error-page text standing in place of real content.
 
-Method: positive-unlabelled naive Bayes by expectation-maximization. Records that a list of trusted
-forms matches as a whole (error messages, notices, placeholders, filler) are positive; all others are
-unlabelled. The model is fitted on a bounded sample: up to ``POSITIVES`` distinct trusted passages and
-``UNLABELLED`` distinct others of about ``RECORDS`` unlabelled records, the ones with the smallest hashes,
-over the whole table. Counts are weighted so that both classes stand for the same share of the table, and
-a larger table gives the same odds. Trusted
-passages keep their label; the posteriors of the others and the class weights are re-estimated until
-they settle. Then every passage of every record is scored, and a record stands in for content only if
-all its passages do, apart from a bare section title before them.
+Method: positive-unlabelled naive Bayes by expectation-maximization. A short, general list of phrases (status
+names of the HTTP standard, access notices, placeholders, orders to fill in) only seeds it: a record is
+trusted to stand in for content where such phrases make up ``SEED_SHARE`` of its words, where it is a
+template with its blanks unfilled, blind text, or one phrase over and over. All other records are
+unlabelled, but for passages that refer to or introduce a page, which are trusted to be content.
+
+The model is fitted on a bounded sample: up to ``POSITIVES`` distinct trusted passages and ``UNLABELLED``
+distinct others of about ``RECORDS`` unlabelled records, the ones with the smallest hashes, over the whole
+table. Counts are weighted so that both classes stand for the same share of the table, and a larger table
+gives the same odds. The posteriors of unlabelled passages, the rates of the features and the class weight
+are re-estimated until they settle; so passages that no phrase matches join the class by what they share
+with it. No single feature weighs more than ``MOST_ODDS``, as the sample may lack a usual word. Then every
+passage of every record is scored by the model alone, whole: a record stands in for content if its passages
+do taken together and none is clearly content. A bare section title before them changes nothing.
 
 Null and blank texts hold no content and no stand-in: they are not found. Real content that cites a
 message, and real content that is merely short, has passages of its own and is not found.
@@ -20,6 +25,7 @@ import hashlib
 import math
 import re
 from collections.abc import Iterator
+from http import HTTPStatus
 
 import numpy as np
 import pyarrow as pa
@@ -32,30 +38,55 @@ from folium.runtime import Stage
 POSITIVES = 20_000
 UNLABELLED = 60_000
 #: Records that passages are taken from, about; in a larger table unlabelled ones are thinned and trusted ones weighted.
-RECORDS = 15_000
-ROUNDS = 8
-#: Pseudo-counts of each class, distributed like the features of both.
-SMOOTHING = 100.0
-#: Log odds a passage must reach.
-MARGIN = 2.0
-
-# Whole records that are trusted to be placeholders, filler, notices or error messages, after
-# blanks, numbers and outer marks are normalised (see ``normal``).
-TRUSTED = [
-    # promises of content and placeholders
-    r"(?:to ?do|tbd|tba|wip|fixme|n/a|pending|pendiente|pendente|pr[oó]ximamente|em breve|coming soon|under construction|en construcci[oó]n|em constru[cç][aã]o|a definir|por definir|to be (?:defined|determined|done|completed)|por completar|a completar|sin contenido|sem conte[uú]do|no content|empty section)",
-    r"(?:wip|todo|pendiente|tbd)\b.{0,30}(?:fill|later|redactar|completar|preencher).{0,10}", r"(?:content|contenido|conte[uú]do)\b.{0,12}(?:in preparation|coming soon|en preparaci[oó]n|en construcci[oó]n|em prepara[cç][aã]o|goes here|aqu[ií])", r"your (?:own )?(?:content|text) (?:goes )?here",
-    r"pendiente de (?:redactar|completar|definir)", r"(?:replace|reemplace|substitua) (?:this|este|esta) .{0,40}", r"(?:insert|type|write|add|escrib[ae]|inserte|insira|introduzca|digite|escreva) (?:here|aqu[ií]|your text|your content|o seu texto|seu texto|su texto|el contenido).{0,40}",
-    r"(?:click|haga clic|clique) (?:to|para) (?:add|agregar|adicionar|a[nñ]adir) (?:text|texto).{0,10}", r"(?:escriba|write|escreva) (?:una?|a|uma) (?:breve|short) (?:descripci[oó]n|description|descri[cç][aã]o).{0,60}", r"section title section body", r"(?:flujo|flow|fluxo|descripci[oó]n|description|descri[cç][aã]o|secci[oó]n|section) <n>",
-    # unfilled templates
-    r"(?:\S+ ){0,6}<blank>.{0,40}<blank>.{0,60}",
-    # error messages
-    r"(?:error )?(?:<n> )?(?:not found|forbidden|bad gateway|bad request|unauthorized|service unavailable|gateway timeout|internal server error)\b.{0,140}", r"error <n>:? .{0,100}", r"(?:oops|ups)\b.{0,120}", r".{0,100}\brequest id:? .{0,20}", r".{0,90}\(?\bref <n>\)?",
-    r"(?:the |la |a )?(?:requested page|p[aá]gina solicitada)\b.{0,80}", r"(?:something went wrong|ocurri[oó] un error|ocorreu um erro|algo sali[oó] mal)\b.{0,80}", r"(?:your session|su sesi[oó]n|sesi[oó]n|sua sess[aã]o) (?:has )?expir.{0,60}", r"(?:you do not have permission|no tiene permiso|sem permiss[aã]o|access denied|acceso denegado)\b.{0,60}", r"(?:the upstream server|el servidor no respondi[oó]|o servidor n[aã]o respondeu)\b.{0,60}",
-    # notices about scripts, cookies, browsers and checks
-    r"(?:please )?(?:enable|allow|turn on|activate|active|habilite|ative|permita|debe habilitar|you (?:must|need to) enable) .{0,20}(?:javascript|scripts|cookies)\b.{0,80}", r"(?:javascript|scripts?) (?:is|are|no est[aá]|est[aá]|n[aã]o est[aá]) .{0,110}", r"(?:your browser|su navegador|seu navegador) (?:is not|no es|n[aã]o [eé]) .{0,90}", r"(?:checking|verifying|verificando|comprobando) (?:that|que|si|if) .{0,80}", r"(?:loading|cargando|carregando)\b.{0,40}",
-]
-TRUSTED_FORM = re.compile("(?:" + "|".join(TRUSTED) + ")", re.I)
+RECORDS = 30_000
+ROUNDS = 30
+#: Kinds in the sample: trusted records, unlabelled records of up to ``FEW`` passages, and longer ones. Half of the unlabelled part is
+#: of either kind and stands for all of it, as stand-ins are brief and would be rare among all. The passages of a record of up to
+#: ``FEW`` are fitted together, as they share its class; longer records are fitted passage by passage.
+TRUSTED, BRIEF, LONGER = 2, 1, 0
+FEW = 3
+#: Share of a record's words in seed phrases (or blanks) from which it is trusted.
+SEED_SHARE = 0.4
+#: Pseudo-counts of a feature among content and among stand-ins.
+CONTENT_PSEUDO, STANDIN_PSEUDO = 1.0, 0.05
+#: Log odds of one feature, at most; log odds of a word and of a pair of words the sample lacks (stand-ins are stereotyped).
+MOST_ODDS = 5.0
+NEW_WORD, NEW_PAIR = -2.0, -0.7
+#: Log odds below which a passage is clearly content.
+CLEARLY_CONTENT = -3.0
+
+# Seeds: phrases of which a trusted record mainly consists, by what stands in for content.
+SEEDS = {
+    "error": [
+        rf"(?:error )?(?:<n> )?(?:{'|'.join(re.escape(s.phrase.lower()) for s in HTTPStatus if s >= 400)})", r"\berror <n>", r"\b(?:oops|ups)\b", r"\brequest id:? <n>", r"\bref\W* <n>",
+        r"(?:something went wrong|(?:an )?(?:unexpected )?error (?:has )?occurred|ocurrió un error|ocorreu um erro)(?: on our side| inesperado)?",
+        r"(?:page|página)(?: solicitada)? (?:not found|does not exist|no existe|não existe|não encontrada|no encontrada)",
+        r"(?:try again|intente de nuevo|tente novamente)(?: later| más tarde| mais tarde)?", r"(?:session|sesión|sessão) (?:has )?(?:expired|expirada|expirou)",
+        r"(?:you do not have permission|no tiene permiso|você não tem permissão|access denied|acceso denegado|acesso negado)", r"(?:did not answer|no respondió|não respondeu)(?: in time| a tiempo| a tempo)?",
+    ],
+    "notice": [
+        r"(?:please |por favor )?(?:enable|turn on|allow|habilitar|habilite|active|activar|ative|permita) (?:las |the |os )?(?:javascript|scripts|cookies)",
+        r"(?:javascript|scripts|cookies)(?: (?:is|are|está|no está|não está))? (?:required|needed|disabled|turned off|activo|desactivado|desativado)",
+        r"(?:your browser|su navegador|seu navegador)(?: is not| no es| não é)?(?: supported| compatible| compatível)?", r"(?:that )?(?:you are|usted es|você é) (?:a )?(?:human|humano|humana)",
+        r"(?:may|puede|pode) (?:take|tardar|demorar) (?:a few|unos|alguns) (?:seconds|segundos)", r"\b(?:loading|cargando|carregando)\b", r"(?:please wait|espere un momento|aguarde)",
+    ],
+    "placeholder": [
+        r"\b(?:to do|todo|tbd|tba|wip|fixme|n/a|pending|pendiente|pendente)\b", r"(?:coming soon|próximamente|em breve|under construction|en construcción|em construção|in preparation|en preparación|em preparação)",
+        r"(?:\bto be|\bpor|\ba|\bde) (?:defined|determined|completed|written|definir|completar|redactar|preencher)\b", r"(?:no content|sin contenido|sem conteúdo)", r"(?:fill in|add|complete)(?: it| this)? later",
+    ],
+    "order": [
+        r"\b(?:insert|type|write|enter|add|escriba|escribe|inserte|insira|introduzca|digite|escreva|agregar|describa|describe|descreva)(?: (?:your|su|seu|o|el|la|a|un|una|um|uma|breve|short))* "
+        r"(?:text|content|description|texto|contenido|conteúdo|descripción|descrição|here|aquí|aqui)(?: (?:here|aquí|aqui))?",
+        r"(?:replace|reemplace|substitua) (?:this|este|esta) (?:text|paragraph|texto|párrafo|parágrafo)", r"(?:click|haga clic|clique)(?: to| para| here| aquí| aqui)",
+        r"(?:your|su|seu) (?:own )?(?:text|content|texto|contenido|conteúdo)(?: goes here| va aquí)?",
+        r"\b(?:section|sección|seção|title|título|item|step|paso|description|descripción|descrição|flow|flujo|fluxo|body|heading)(?: (?:title|body|section|heading|text))? <n>", r"\bsection (?:title|body|text)",
+    ],
+}
+# Passages trusted to be content, though short: references to another page, and what a page is about.
+CONTENT_FORMS = re.compile(
+    r"\W*(?:(?:see|ver|véase|vea|veja|cf)\b|(?:this|these|esta|este|estas|estos|essa|esse) (?:page|section|document|chapter|guide|table|página|sección|seção|documento|capítulo|guía|guia|tabla|tabela) "
+    r"(?:describes|explains|lists|shows|contains|covers|documents|describe|explica|enumera|muestra|contiene|documenta|descreve|lista|mostra|contém)\b).*", re.I | re.S
+)
 # Words of the usual blind text.
 BLIND_WORDS = {"lorem", "ipsum", "dolor", "sit", "amet"}
 FILLER = re.compile(r"(?P<u>\b[^\W\d_]{3,}(?: [^\W\d_]{2,}){0,3})(?:[\s,.;]+(?P=u)){2,}[.!,\s]*", re.I)
@@ -67,6 +98,9 @@ NUMBER = re.compile(r"\b[0-9a-z]*\d[0-9a-z]*(?:[.,]\d+)*\b", re.I)
 NAME = re.compile(r"\b[A-Za-z]+(?:_[A-Za-z0-9]+)+\b|\b[a-z]+(?:[A-Z][a-z0-9]*)+\b")
 FEATURE = re.compile(r"<blank>|<n>|<name>|[^\W\d_]+|[/\\{}=;|]")
 WEAK = {"^", "$", "<n>", "<name>"}
+MARKS = ("<", "{{", "${", "____", "@@", "[INS", "XXX", "%")
+RAW_WORD = re.compile(r"[^\W_]+(?:_[^\W_]+)*|n/a")
+NORMAL_WORD = re.compile(r"<blank>|<name>|n/a|[^\W_]+")
 MARK = re.compile(r"\W*(?:ref\W+)?(?:<n>|<blank>)?\W*", re.I)
 TITLE = re.compile(r"[#=\s]*[^\W\d_][^\n.!?:;{}<>=|]{0,60}?[=\s]*\n\s*\n")
 
@@ -85,25 +119,33 @@ def body(text: str) -> str:
     return text[m.end() :] if m and text[m.end() :].strip() else text
 
 
-def trusted(text: str) -> bool:
-    """Whether the whole record has a trusted form."""
-    if not text:
-        return False
-    if len(text) > 700:  # so long a record is blind text or one phrase over and over, or has no trusted form
-        low = text.lower()
-        if sum(w in low for w in BLIND_WORDS) < 2 and len(set(re.findall(r"[^\W\d_]+", low))) > 12:
+class Seeds:
+    """Trusted records, by a list of seed phrases."""
+
+    def __init__(self, phrases: list[str]):
+        self.phrase = re.compile("|".join(phrases), re.I) if phrases else None
+        words = re.findall(r"[^\W\d_]+", re.sub(r"\\[A-Za-z]", " ", " ".join(phrases)).lower())
+        self.words = set(words)
+
+    def trusted(self, text: str) -> bool:
+        """Whether the record as a whole consists mainly of seed phrases, unfilled blanks, blind text or one phrase over and over."""
+        if not any(m in text for m in MARKS):  # with too few words of phrases, and none over and over, it is none
+            raw = RAW_WORD.findall(text.lower())
+            n = len(raw)
+            if sum(w in self.words for w in raw) < SEED_SHARE * n and sum(w in BLIND_WORDS for w in raw) * 8 < n and len(set(raw)) * 3 > n:
+                return False
+        t = normal(body(text))
+        words = [w.lower() for w in NORMAL_WORD.findall(t)]
+        if not words:
             return False
-    t = normal(body(text))
-    core = t.strip(" .…!¡?¿_()[]*-")
-    words = re.findall(r"[^\W\d_]+", core.lower())
-    blind = [w for w in words if w in BLIND_WORDS]
-    if len(set(blind)) > 1 and len(blind) * 8 >= len(words):
-        return True
-    if not core or len(core) > 600:
-        return False
-    core = re.sub(r"[\s.…]*[\[(]?<n>[\])]?$", "", core) if not re.search(r"(?:ref|id|flujo|flow|fluxo|descripci|descri|secci|section)\W*(?:\w+ )?[\[(]?<n>", core, re.I) else core
-    m = TRUSTED_FORM.fullmatch(core.strip(" .…!¡?¿_()[]*-"))
-    return bool(m) or bool(FILLER.fullmatch(t.strip()))
+        blind = [w for w in words if w in BLIND_WORDS]
+        if len(set(blind)) > 1 and len(blind) * 8 >= len(words):
+            return True
+        blanks = words.count("<blank>")
+        if (blanks > 1 and blanks * 5 >= len(words)) or FILLER.fullmatch(t):
+            return True
+        seeded = sum(len(NORMAL_WORD.findall(m.group())) for m in self.phrase.finditer(t)) if self.phrase else 0
+        return seeded > 0 and seeded + blanks >= SEED_SHARE * len(words)
 
 
 def passages(text: str) -> Iterator[str]:
@@ -122,42 +164,52 @@ def passages(text: str) -> Iterator[str]:
 
 
 def features(passage: str) -> list[str]:
-    w = FEATURE.findall(passage.lower())
-    return [*w, *(f"{a} {b}" for a, b in zip(["^", *w], [*w, "$"]) if a not in WEAK or b not in WEAK)]
+    """Distinct words, pairs of neighbours and the passage as a whole; several passages are lines."""
+    out: dict[str, None] = {}
+    for line in passage.lower().split("\n"):
+        w = FEATURE.findall(line)
+        out.update(dict.fromkeys(w))
+        out.update(dict.fromkeys(f"{a} {b}" for a, b in zip(["^", *w], [*w, "$"]) if a not in WEAK or b not in WEAK))
+        out["= " + " ".join(w)] = None
+    return list(out)
 
 
 class Model:
     """Log odds of features and of the classes."""
 
-    def __init__(self, positive: dict[str, float], unlabelled: dict[str, float]):
-        """Distinct passages with their weighted counts."""
+    def __init__(self, positive: dict[str, float], unlabelled: dict[str, float], repeated: set[str]):
+        """Distinct passages with their weighted counts, and those of them that occur more than once."""
         texts = [*positive, *unlabelled]
         times = np.array([*positive.values(), *unlabelled.values()], float)
+        self.odds: dict[str, float] = {}
+        self.prior = -math.inf
+        if not positive or not unlabelled:
+            return
         ids: dict[str, int] = {}
         flat, size = [], []
         for t in texts:
             fs = [ids.setdefault(f, len(ids)) for f in features(t)]
             flat += fs
             size.append(len(fs))
-        self.odds: dict[str, float] = {}
-        self.prior = -math.inf
-        if not positive or not unlabelled:
-            return
-        x, n = np.array(flat, np.int64), np.array(size)
-        row = np.repeat(np.arange(len(texts)), n)
-        fixed = np.arange(len(texts)) < len(positive)
-        post = fixed.astype(float)
-        # smoothing by the common distribution, so a feature unseen in the small class speaks against it
-        both = np.bincount(x, weights=times[row], minlength=len(ids))
-        both *= SMOOTHING / both.sum()
+        x = np.array(flat, np.int64)
+        row = np.repeat(np.arange(len(texts)), np.array(size))
+        label = np.zeros(len(texts))
+        label[: len(positive)] = 1.0
+        fixed = label > 0
+        fixed[len(positive) :] = [bool(CONTENT_FORMS.match(t)) for t in unlabelled]
+        # a feature of a single unlabelled occurrence is as good as new, else it would speak for its own passage
+        known = np.array([t in repeated for t in texts]) | fixed
+        lone = (np.bincount(x, minlength=len(ids)) == 1) & (np.bincount(x, weights=known[row], minlength=len(ids)) == 0)
+        new_odds = np.array([_new(f) for f in ids])
+        post = label.copy()
         for _ in range(ROUNDS):
-            pos = np.bincount(x, weights=(times * post)[row], minlength=len(ids))
-            neg = np.bincount(x, weights=(times * (1 - post))[row], minlength=len(ids))
-            odds = np.log((pos + both) / (pos.sum() + SMOOTHING)) - np.log((neg + both) / (neg.sum() + SMOOTHING))
-            share = min(max(np.average(post[~fixed], weights=times[~fixed]), 1e-3), 0.05)
-            prior = math.log(share / (1 - share))
+            pos, neg = (np.bincount(x, weights=(times * w)[row], minlength=len(ids)) for w in (post, 1 - post))
+            n_pos, n_neg = (times * post).sum(), (times * (1 - post)).sum()
+            odds = np.log((pos + STANDIN_PSEUDO) / (n_pos + 2 * STANDIN_PSEUDO)) - np.log((neg + CONTENT_PSEUDO) / (n_neg + 2 * CONTENT_PSEUDO))
+            odds = np.where(lone, new_odds, np.clip(odds, -MOST_ODDS, MOST_ODDS))
+            prior = math.log(n_pos / n_neg) if n_neg > 0 else 0.0
             score = np.bincount(row, weights=odds[x], minlength=len(texts)) + prior
-            new = np.where(fixed, 1.0, 1 / (1 + np.exp(-np.clip(score, -50, 50))))
+            new = np.where(fixed, label, 1 / (1 + np.exp(-np.clip(score, -50, 50))))
             done = np.abs(new - post).max() < 1e-3
             post = new
             if done:
@@ -166,26 +218,35 @@ class Model:
         self.prior = prior
 
     def score(self, passage: str) -> float:
-        return self.prior + sum(self.odds.get(f, 0.0) for f in features(passage))
+        if CONTENT_FORMS.match(passage):
+            return -math.inf
+        return self.prior + sum(self.odds[f] if f in self.odds else _new(f) for f in features(passage))
 
     def stands_in(self, text: str | None) -> bool:
-        """Whether all passages of the record stand in for content."""
-        if not text:
+        """Whether the passages of the record stand in for content, taken together, and none is clearly content."""
+        if not text or not self.odds:
             return False
-        some = False
-        for p in passages(text):  # the first passage of real content decides
-            some = True
-            if self.score(p) <= MARGIN:
+        some, total = False, 0.0
+        for p in passages(text):  # the first passage that is clearly content decides
+            some, s = True, self.score(p)
+            if s < CLEARLY_CONTENT:
                 return False
-        return some
+            total += s
+        return some and total > 0
+
+
+def _new(feature: str) -> float:
+    """Log odds of a feature the sample lacks."""
+    return 0.0 if feature[0] == "=" else NEW_PAIR if " " in feature else NEW_WORD
 
 
 def _hash(text: str) -> int:
     return int.from_bytes(hashlib.md5(text.encode()).digest()[:8], "little", signed=True)
 
 
-def fit(df: DataFrame, text: str = "text") -> Model:
-    """The model of a table; a first pass picks the passages with the smallest hashes of either kind."""
+def fit(df: DataFrame, text: str = "text", seeds: list[str] | None = None) -> Model:
+    """The model of a table; a first pass picks the passages with the smallest hashes of either kind. ``seeds`` are other phrases to trust."""
+    known = Seeds([p for group in SEEDS.values() for p in group] if seeds is None else seeds)
     rows = df.select(df[text].alias("t")).where("t is not null")
     n = max(1, rows.count())
     # unlabelled records are thinned by their hash so that about enough passages come, whatever the size
@@ -194,34 +255,45 @@ def fit(df: DataFrame, text: str = "text") -> Model:
 
     def run(batches):
         for b in batches:
-            got: dict[tuple[bool, str], int] = {}
+            got: dict[tuple[int, str], int] = {}
             for t in b.column(0).to_pylist():
-                good = trusted(t)
+                good = known.trusted(t)
                 if good or _hash(t) < bound:
-                    for p in passages(t):
-                        got[(good, p)] = got.get((good, p), 0) + 1
-            cols = [pa.array([k[0] for k in got], pa.bool_()), pa.array([k[1] for k in got], pa.string()), pa.array(list(got.values()), pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, names=["good", "p", "n"])
+                    ps = list(passages(t))
+                    kind = TRUSTED if good else BRIEF if len(ps) <= FEW else LONGER
+                    for p in ps if len(ps) > FEW else ["\n".join(ps)]:
+                        got[(kind, p)] = got.get((kind, p), 0) + 1
+            cols = [pa.array([k[0] for k in got], pa.int32()), pa.array([k[1] for k in got], pa.string()), pa.array(list(got.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=["kind", "p", "n"])
 
-    counted = rows.mapInArrow(run, "good boolean, p string, n long").groupBy("good", "p").agg(F.sum("n").alias("n"))
-    picked = Stage(df.sparkSession, "standins").put(counted)
+    counted = rows.mapInArrow(run, "kind int, p string, n long").groupBy("kind", "p").agg(F.sum("n").alias("n"))
+    stage = Stage(df.sparkSession, "standins")
+    picked = stage.put(counted)
+    total = {r["kind"]: r["n"] for r in picked.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
 
-    total = {r["good"]: r["n"] for r in picked.groupBy("good").agg(F.sum("n").alias("n")).collect()}
+    repeated: set[str] = set()
 
-    def smallest(good: bool, most: int, part: float) -> dict[str, float]:
+    def smallest(kind: int, most: int, part: float) -> dict[str, float]:
         """Passages whose counts add up to ``part`` of those of all passages of the kind."""
-        got = picked.where(F.col("good") == good).orderBy(F.xxhash64("p"), "p").limit(most).collect()
-        weight = part * total.get(good, 0) / max(1, sum(r["n"] for r in got))
+        got = picked.where(F.col("kind") == kind).orderBy(F.xxhash64("p"), "p").limit(most).collect()
+        repeated.update(r["p"] for r in got if r["n"] > 1)
+        weight = part * total.get(kind, 0) / max(1, sum(r["n"] for r in got))
         return {r["p"]: r["n"] * weight for r in got}
 
     # every trusted record was counted, but only a share of the others
-    good = smallest(True, POSITIVES, share)
-    return Model(good, {p: n for p, n in smallest(False, UNLABELLED, 1.0).items() if p not in good})
+    good = smallest(TRUSTED, POSITIVES, share)
+    others: dict[str, float] = {}
+    for kind in (BRIEF, LONGER):
+        for p, n in smallest(kind, UNLABELLED // 2, 1.0).items():
+            if p not in good:
+                others[p] = others.get(p, 0.0) + n
+    stage.drop(picked)
+    return Model(good, others, repeated)
 
 
-def find(df: DataFrame, key: str = "id", text: str = "text", keep_real: bool = False) -> DataFrame:
+def find(df: DataFrame, key: str = "id", text: str = "text", keep_real: bool = False, seeds: list[str] | None = None) -> DataFrame:
     """Keys of the records that stand in for content, or with ``keep_real`` the rows without them."""
-    model = df.sparkSession.sparkContext.broadcast(fit(df, text))
+    model = df.sparkSession.sparkContext.broadcast(fit(df, text, seeds))
     if keep_real:
         at, schema = df.columns.index(text), df.schema
 

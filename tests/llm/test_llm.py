@@ -219,13 +219,48 @@ def test_odds_do_not_move_with_the_table(spark, monkeypatch):
         assert abs(small.score(standins.normal(text)) - large.score(standins.normal(text))) < 0.8
 
 
+def all_seeds():
+    return [p for group in standins.SEEDS.values() for p in group]
+
+
 def test_whole_passages_and_records_are_fitted(spark):
     start = "el servicio de precios archiva los pedidos " * 12
     rows = [(start + "alfa",), (start + "betaterm",), ("Coming soon",)]
     assert "betaterm" in standins.fit(spark.createDataFrame(rows, "text string")).odds
     real = " ".join(f"palabra{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(80))
-    assert len(real) > 700 and standins.trusted(real + " etcetera " * 6 + ". " + "Lorem ipsum dolor sit amet. " * 8)
-    assert not standins.trusted(real + " etcetera " * 6)
+    trusted = standins.Seeds(all_seeds()).trusted
+    assert len(real) > 700 and trusted(real + " etcetera " * 6 + ". " + "Lorem ipsum dolor sit amet. " * 8) and not trusted(real + " etcetera " * 6)
+    for unit in ("404 Not Found. ", "texto de ejemplo, "):  # a record as long as a book is judged whole
+        assert trusted(unit * 3000) and not trusted(unit + real * 500)
+
+
+def stand_in_table(seed=1):
+    """Real chunks, and stand-ins made of parts that go together in many ways."""
+    rng = random.Random(seed)
+    actors, verbs, things = ["el servicio", "la cola", "the module", "the job", "el campo"], ["archiva", "publica", "compares", "rejects", "guarda"], ["los pedidos", "las tarifas", "the rates", "the orders", "el costo"]
+    rows = [(f"n{i}", " ".join(f"{rng.choice(actors)} {rng.choice(verbs)} {rng.choice(things)} cada {rng.randint(1, 99)} minutos." for _ in range(5))) for i in range(1500)]
+    status = ["404 Not Found", "502 Bad Gateway", "503 Service Unavailable", "Error 500:", "Oops!"]
+    what = ["La página solicitada no existe o fue movida.", "The requested page does not exist or was moved.", "Something went wrong on our side. Please try again later.", "Ocurrió un error inesperado. Intente de nuevo más tarde.",
+            "Su sesión ha expirado. Inicie sesión para continuar.", "El servidor no respondió a tiempo. Intente de nuevo más tarde."]
+    tail = ["", " Request ID: 12ab34", " (ref. 77)"]
+    notice = ["Please enable JavaScript to {}.", "Habilite JavaScript para {}.", "Scripts are turned off: turn them on to {}.", "Active las cookies para {}.", "Your browser is not supported. Upgrade it to {}."]
+    goal = ["continue", "continuar", "view this page", "ver esta página", "access this site"]
+    rows += [(f"s{i}", rng.choice(status) + "\n" + rng.choice(what) + rng.choice(tail)) for i in range(60)]
+    rows += [(f"s{60 + i}", rng.choice(notice).format(rng.choice(goal))) for i in range(40)]
+    rows += [(f"s{100 + i}", f"Hola {{{{a{i}}}}}, describa aquí el propósito de ${{B_{i}}}.") for i in range(10)]
+    return rows
+
+
+def test_the_model_finds_what_withheld_phrases_would(spark):
+    rows = stand_in_table()
+    short = ["Please restart the billing worker after a deploy.", "Esta página describe el flujo de alta.", "The queue rejects late orders.", "Ver README.", "El campo guarda el costo."]
+    df = spark.createDataFrame(rows + [(f"r{i}", t) for i, t in enumerate(short)], "id string, text string")
+    wanted = {i for i, _ in rows if i[0] == "s"}
+    for seeds in (None, all_seeds()[::2], all_seeds()[1::2]):
+        got = {r["key"] for r in standins.find(df, seeds=seeds).collect()}
+        assert got <= wanted and len(got) >= 0.9 * len(wanted), (len(got), got - wanted)
+    known = standins.Seeds(all_seeds()[::2])
+    assert sum(not known.trusted(t) for i, t in rows if i in wanted) > 10  # so the rest came from the model
 
 
 # ---- 6

@@ -98,8 +98,9 @@ NUMBER = re.compile(r"\b[0-9a-z]*\d[0-9a-z]*(?:[.,]\d+)*\b", re.I)
 NAME = re.compile(r"\b[A-Za-z]+(?:_[A-Za-z0-9]+)+\b|\b[a-z]+(?:[A-Z][a-z0-9]*)+\b")
 FEATURE = re.compile(r"<blank>|<n>|<name>|[^\W\d_]+|[/\\{}=;|]")
 WEAK = {"^", "$", "<n>", "<name>"}
+SHORT_ANCHORS = {"tbd", "tba", "wip", "n/a", "ups", "ref", "do"}
 MARKS = ("<", "{{", "${", "____", "@@", "[INS", "XXX", "%")
-RAW_WORD = re.compile(r"[^\W_]+(?:_[^\W_]+)*|n/a")
+RAW_WORD = re.compile(r"n/a|[^\W_]+(?:_[^\W_]+)*")
 NORMAL_WORD = re.compile(r"<blank>|<name>|n/a|[^\W_]+")
 MARK = re.compile(r"\W*(?:ref\W+)?(?:<n>|<blank>)?\W*", re.I)
 TITLE = re.compile(r"[#=\s]*[^\W\d_][^\n.!?:;{}<>=|]{0,60}?[=\s]*\n\s*\n")
@@ -125,15 +126,25 @@ class Seeds:
     def __init__(self, phrases: list[str]):
         self.phrase = re.compile("|".join(phrases), re.I) if phrases else None
         words = re.findall(r"[^\W\d_]+", re.sub(r"\\[A-Za-z]", " ", " ".join(phrases)).lower())
-        self.words = set(words)
+        self.anchors = {w for w in words if len(w) > 3} | SHORT_ANCHORS
+
+    def _possible(self, text: str) -> bool:
+        """A quick bound from above: at most four words of a phrase go to each of its longer ones."""
+        text, blanks = body(text), 0
+        if any(m in text for m in MARKS):
+            text, blanks = BLANK.subn(" ", text)
+            if "<" in text:
+                text = TAG.sub(" ", text)
+        words = RAW_WORD.findall(text.lower())
+        n = sum(w.isalpha() for w in words) + blanks
+        if 4 * sum(w in self.anchors for w in words) + blanks >= SEED_SHARE * n or (blanks > 1 and blanks * 5 >= n):
+            return True
+        return sum(w in BLIND_WORDS for w in words) * 8 >= n or len(set(words)) * 3 <= n
 
     def trusted(self, text: str) -> bool:
         """Whether the record as a whole consists mainly of seed phrases, unfilled blanks, blind text or one phrase over and over."""
-        if not any(m in text for m in MARKS):  # with too few words of phrases, and none over and over, it is none
-            raw = RAW_WORD.findall(text.lower())
-            n = len(raw)
-            if sum(w in self.words for w in raw) < SEED_SHARE * n and sum(w in BLIND_WORDS for w in raw) * 8 < n and len(set(raw)) * 3 > n:
-                return False
+        if not self._possible(text):
+            return False
         t = normal(body(text))
         words = [w.lower() for w in NORMAL_WORD.findall(t)]
         if not words:

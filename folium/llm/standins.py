@@ -98,7 +98,7 @@ NUMBER = re.compile(r"\b[0-9a-z]*\d[0-9a-z]*(?:[.,]\d+)*\b", re.I)
 NAME = re.compile(r"\b[A-Za-z]+(?:_[A-Za-z0-9]+)+\b|\b[a-z]+(?:[A-Z][a-z0-9]*)+\b")
 FEATURE = re.compile(r"<blank>|<n>|<name>|[^\W\d_]+|[/\\{}=;|]")
 WEAK = {"^", "$", "<n>", "<name>"}
-SHORT_ANCHORS = {"tbd", "tba", "wip", "n/a", "ups", "ref", "do"}
+SHORT_ANCHORS = {"tbd", "tba", "wip", "n/a", "ups", "ref", "do", "uri", "too"}
 MARKS = ("<", "{{", "${", "____", "@@", "[INS", "XXX", "%")
 RAW_WORD = re.compile(r"n/a|[^\W_]+(?:_[^\W_]+)*")
 NORMAL_WORD = re.compile(r"<blank>|<name>|n/a|[^\W_]+")
@@ -124,12 +124,12 @@ class Seeds:
     """Trusted records, by a list of seed phrases."""
 
     def __init__(self, phrases: list[str]):
-        self.phrase = re.compile("|".join(phrases), re.I) if phrases else None
+        self.phrase = re.compile(rf"(?<!\w)(?:{'|'.join(phrases)})", re.I) if phrases else None
         words = re.findall(r"[^\W\d_]+", re.sub(r"\\[A-Za-z]", " ", " ".join(phrases)).lower())
         self.anchors = {w for w in words if len(w) > 3} | SHORT_ANCHORS
 
     def _possible(self, text: str) -> bool:
-        """A quick bound from above: at most four words of a phrase go to each of its longer ones."""
+        """A quick bound from above: at most three words of a phrase go to each of its longer ones."""
         text, blanks = body(text), 0
         if any(m in text for m in MARKS):
             text, blanks = BLANK.subn(" ", text)
@@ -137,7 +137,7 @@ class Seeds:
                 text = TAG.sub(" ", text)
         words = RAW_WORD.findall(text.lower())
         n = sum(w.isalpha() for w in words) + blanks
-        if 4 * sum(w in self.anchors for w in words) + blanks >= SEED_SHARE * n or (blanks > 1 and blanks * 5 >= n):
+        if 3 * sum(w in self.anchors for w in words) + blanks >= SEED_SHARE * n or (blanks > 1 and blanks * 5 >= n):
             return True
         return sum(w in BLIND_WORDS for w in words) * 8 >= n or len(set(words)) * 3 <= n
 

@@ -22,16 +22,15 @@ message, and real content that is merely short, has passages of its own and is n
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 from collections.abc import Iterator
 from http import HTTPStatus
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folium.llm.pubayes import FEATURE, Model
 from folium.runtime import Stage
 
 #: Distinct trusted and other passages that the model is fitted on, at most.
@@ -39,7 +38,6 @@ POSITIVES = 20_000
 UNLABELLED = 60_000
 #: Records that passages are taken from, about; in a larger table unlabelled ones are thinned and trusted ones weighted.
 RECORDS = 30_000
-ROUNDS = 30
 #: Kinds in the sample: trusted records, unlabelled records of up to ``FEW`` passages, and longer ones. Half of the unlabelled part is
 #: of either kind and stands for all of it, as stand-ins are brief and would be rare among all. The passages of a record of up to
 #: ``FEW`` are fitted together, as they share its class; longer records are fitted passage by passage.
@@ -47,11 +45,6 @@ TRUSTED, BRIEF, LONGER = 2, 1, 0
 FEW = 3
 #: Share of a record's words in seed phrases (or blanks) from which it is trusted.
 SEED_SHARE = 0.4
-#: Pseudo-counts of a feature among content and among stand-ins.
-CONTENT_PSEUDO, STANDIN_PSEUDO = 1.0, 0.05
-#: Log odds of one feature, at most; log odds of a word and of a pair of words the sample lacks (stand-ins are stereotyped).
-MOST_ODDS = 5.0
-NEW_WORD, NEW_PAIR = -2.0, -0.7
 #: Log odds below which a passage is clearly content.
 CLEARLY_CONTENT = -3.0
 
@@ -96,8 +89,6 @@ TAG = re.compile(r"</?[a-zA-Z][^<>]*>|<!--.*?-->", re.S)
 PASSAGE = re.compile(r"(?<=[.!?…])\s+|\n+")
 NUMBER = re.compile(r"\b[0-9a-z]*\d[0-9a-z]*(?:[.,]\d+)*\b", re.I)
 NAME = re.compile(r"\b[A-Za-z]+(?:_[A-Za-z0-9]+)+\b|\b[a-z]+(?:[A-Z][a-z0-9]*)+\b")
-FEATURE = re.compile(r"<blank>|<n>|<name>|[^\W\d_]+|[/\\{}=;|]")
-WEAK = {"^", "$", "<n>", "<name>"}
 SHORT_ANCHORS = {"tbd", "tba", "wip", "n/a", "ups", "ref", "do", "uri", "too"}
 MARKS = ("<", "{{", "${", "____", "@@", "[INS", "XXX", "%")
 RAW_WORD = re.compile(r"n/a|[^\W_]+(?:_[^\W_]+)*")
@@ -174,81 +165,17 @@ def passages(text: str) -> Iterator[str]:
         yield held
 
 
-def features(passage: str) -> list[str]:
-    """Distinct words, pairs of neighbours and the passage as a whole; several passages are lines."""
-    out: dict[str, None] = {}
-    for line in passage.lower().split("\n"):
-        w = FEATURE.findall(line)
-        out.update(dict.fromkeys(w))
-        out.update(dict.fromkeys(f"{a} {b}" for a, b in zip(["^", *w], [*w, "$"]) if a not in WEAK or b not in WEAK))
-        out["= " + " ".join(w)] = None
-    return list(out)
-
-
-class Model:
-    """Log odds of features and of the classes."""
-
-    def __init__(self, positive: dict[str, float], unlabelled: dict[str, float], repeated: set[str]):
-        """Distinct passages with their weighted counts, and those of them that occur more than once."""
-        texts = [*positive, *unlabelled]
-        times = np.array([*positive.values(), *unlabelled.values()], float)
-        self.odds: dict[str, float] = {}
-        self.prior = -math.inf
-        if not positive or not unlabelled:
-            return
-        ids: dict[str, int] = {}
-        flat, size = [], []
-        for t in texts:
-            fs = [ids.setdefault(f, len(ids)) for f in features(t)]
-            flat += fs
-            size.append(len(fs))
-        x = np.array(flat, np.int64)
-        row = np.repeat(np.arange(len(texts)), np.array(size))
-        label = np.zeros(len(texts))
-        label[: len(positive)] = 1.0
-        fixed = label > 0
-        fixed[len(positive) :] = [bool(CONTENT_FORMS.match(t)) for t in unlabelled]
-        # a feature of a single unlabelled occurrence is as good as new, else it would speak for its own passage
-        known = np.array([t in repeated for t in texts]) | fixed
-        lone = (np.bincount(x, minlength=len(ids)) == 1) & (np.bincount(x, weights=known[row], minlength=len(ids)) == 0)
-        new_odds = np.array([_new(f) for f in ids])
-        post = label.copy()
-        for _ in range(ROUNDS):
-            pos, neg = (np.bincount(x, weights=(times * w)[row], minlength=len(ids)) for w in (post, 1 - post))
-            n_pos, n_neg = (times * post).sum(), (times * (1 - post)).sum()
-            odds = np.log((pos + STANDIN_PSEUDO) / (n_pos + 2 * STANDIN_PSEUDO)) - np.log((neg + CONTENT_PSEUDO) / (n_neg + 2 * CONTENT_PSEUDO))
-            odds = np.where(lone, new_odds, np.clip(odds, -MOST_ODDS, MOST_ODDS))
-            prior = math.log(n_pos / n_neg) if n_neg > 0 else 0.0
-            score = np.bincount(row, weights=odds[x], minlength=len(texts)) + prior
-            new = np.where(fixed, label, 1 / (1 + np.exp(-np.clip(score, -50, 50))))
-            done = np.abs(new - post).max() < 1e-3
-            post = new
-            if done:
-                break
-        self.odds = {f: float(odds[i]) for f, i in ids.items()}
-        self.prior = prior
-
-    def score(self, passage: str) -> float:
-        if CONTENT_FORMS.match(passage):
-            return -math.inf
-        return self.prior + sum(self.odds[f] if f in self.odds else _new(f) for f in features(passage))
-
-    def stands_in(self, text: str | None) -> bool:
-        """Whether the passages of the record stand in for content, taken together, and none is clearly content."""
-        if not text or not self.odds:
+def stands_in(model: Model, text: str | None) -> bool:
+    """Whether the passages of the record stand in for content, taken together, and none is clearly content."""
+    if not text or not model.odds:
+        return False
+    some, total = False, 0.0
+    for p in passages(text):  # the first passage that is clearly content decides
+        some, s = True, model.score(p)
+        if s < CLEARLY_CONTENT:
             return False
-        some, total = False, 0.0
-        for p in passages(text):  # the first passage that is clearly content decides
-            some, s = True, self.score(p)
-            if s < CLEARLY_CONTENT:
-                return False
-            total += s
-        return some and total > 0
-
-
-def _new(feature: str) -> float:
-    """Log odds of a feature the sample lacks."""
-    return 0.0 if feature[0] == "=" else NEW_PAIR if " " in feature else NEW_WORD
+        total += s
+    return some and total > 0
 
 
 def _hash(text: str) -> int:
@@ -299,7 +226,7 @@ def fit(df: DataFrame, text: str = "text", seeds: list[str] | None = None) -> Mo
             if p not in good:
                 others[p] = others.get(p, 0.0) + n
     stage.drop(picked)
-    return Model(good, others, repeated)
+    return Model(good, others, repeated, CONTENT_FORMS)
 
 
 def find(df: DataFrame, key: str = "id", text: str = "text", keep_real: bool = False, seeds: list[str] | None = None) -> DataFrame:
@@ -311,14 +238,14 @@ def find(df: DataFrame, key: str = "id", text: str = "text", keep_real: bool = F
         def drop(batches):
             m = model.value
             for b in batches:
-                yield b.filter(pa.array([not m.stands_in(t) for t in b.column(at).to_pylist()], pa.bool_()))
+                yield b.filter(pa.array([not stands_in(m, t) for t in b.column(at).to_pylist()], pa.bool_()))
 
         return df.mapInArrow(drop, schema)
 
     def run(batches):
         m = model.value
         for b in batches:
-            ok = pa.array([m.stands_in(t) for t in b.column(1).to_pylist()], pa.bool_())
+            ok = pa.array([stands_in(m, t) for t in b.column(1).to_pylist()], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(ok)], names=["key"])
 
     rows = df.select(df[key].alias("key"), df[text].alias("t")).where("key is not null and t is not null")

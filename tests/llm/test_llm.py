@@ -369,12 +369,41 @@ def test_pair_defects(spark):
     assert qa_defects.find_defects(df.limit(0)).count() == 0
 
 
+def refusals():
+    answers = [a for _, a, _ in GOOD for _ in range(40)]
+    answers += [f"{x} {y}" for x in ("Lo siento, pero", "Sorry,", "Lamentablemente,", "Sinto muito,") for y in ("no puedo ayudar con esa solicitud.", "I cannot answer this question.", "no tengo información para responder.", "não posso responder a essa pergunta.") for _ in range(3)]
+    return qa_defects.refusal_model(answers)
+
+
 def test_refusal_after_a_lead_in():
     q, a, e = GOOD[0]
-    for t in ("Gracias por su consulta. No puedo ayudar con esa solicitud.", "Hola. ¿Qué conserva el campo a_b? Lamentablemente no tengo información.", "Thank you for asking. I cannot answer that. Let me know if you need anything else."):
-        assert qa_defects.is_refusal(t, q, e) and qa_defects.is_refusal(t, q, None), t
-    for t in (f"{a} No puedo decir más.", "Conserva las tarifas. I cannot add more.", "Son 57 horas. No puedo decir más.", a):
-        assert not qa_defects.is_refusal(t, q, e) and not qa_defects.is_refusal(t, q, None), t
+    model = refusals()
+    for t in ("Gracias por su consulta. No puedo ayudar con esa solicitud.", "Thank you for asking. I cannot answer that. Let me know if you need anything else."):
+        assert qa_defects.is_refusal(model, q, t, e) and qa_defects.is_refusal(model, q, t, ""), t
+    for t in (f"{a} No puedo ayudar.", "Son 57 horas. No puedo ayudar.", a, e):
+        assert not qa_defects.is_refusal(model, q, t, e) and not qa_defects.is_refusal(model, q, t, ""), t
+
+
+def test_refusals_no_phrase_lists():
+    model = refusals()
+    for t in ("No tengo información para responder a esa solicitud.", "Lamentablemente, no tengo esa información.", "I answer no question.", "Não tenho como responder a essa pergunta."):
+        assert not qa_defects.REFUSAL_SEEDS.search(t) and qa_defects.is_refusal(model, GOOD[0][0], t, GOOD[0][2]), t
+    for t in ("La cola no puede procesar el costo.", "The queue cannot process the costs.", "No.", "A fila não pode processar o custo."):
+        assert not qa_defects.is_refusal(model, GOOD[0][0], t, GOOD[0][2]), t
+
+
+def test_ends_of_texts():
+    nouns = ["las tarifas", "los costos", "los pedidos", "las rutas", "los lotes"]
+    full = [f"El campo a_{i} conserva {n} una vez por semana{'.' if i % 2 else ''}" for i in range(30) for n in nouns]
+    short = [n.capitalize() for n in nouns for _ in range(6)] + ["Cada 5 minutos", "No", "true", "OPEN, DONE y LOST"] * 15
+    cut = ["El campo a_1 conserva las", "El campo b_2 conserva", "El campo c_3 conserva los costos una vez por"] * 2
+    model = qa_defects.EndModel([(qa_defects.shape(t), qa_defects.is_closed(t)) for t in full + short + cut])
+    for t in (*cut, "El campo z_9 conserva las rut", "OPEN, DONE y", "El campo conserva: (", "El campo conserva los...", "Los costos una vez por"):
+        assert qa_defects.is_truncated(model, t, ""), t
+    for t in (*full[:4], *short[::6], "El campo z_9 conserva los lotes una vez por semana", "No", "5 minutos."):
+        assert not qa_defects.is_truncated(model, t, ""), t
+    evidence = "El campo y conserva las cuotas vigentes."
+    assert qa_defects.is_truncated(model, "Las cuotas vig", evidence) and not qa_defects.is_truncated(model, "Las cuotas vigentes", evidence)
 
 
 # ---- 8

@@ -1,10 +1,12 @@
 """Clean text from documents that still hold HTML, Markdown, wiki or LaTeX markup.
 
 Method: consensus host paths. Every page's HTML containers are scored (text, punctuation and share of
-link text) under their generalised tag-class path; the scores vote per host and path in Spark; then each
-page is extracted again, without the containers whose path lost. A path loses only by consensus: enough
-pages of the host must agree that it holds links or scripts rather than text. What wins, and all markup
-without containers, is converted construct by construct: headings become lines of their own, list items
+link text) under their generalised tag-class path, at any depth; every page votes per host and path in Spark
+whether it holds text or links and scripts; then each page is extracted again by the outcome. A path wins
+where most pages hold text, and loses where enough pages are against it. A container is kept or left out by
+the outcome for the innermost container around its text that is decided, so a winning path inside a losing
+one is kept; where none is decided the whole page is kept. What is kept, and all markup without containers,
+is converted construct by construct: headings become lines of their own, list items
 keep their hyphen, table rows become tab-separated lines, code keeps its lines and formulas a plain
 spelling. ``kinds`` names the constructs removed or converted; a row without any keeps its text.
 
@@ -60,7 +62,7 @@ LATEX_HREF = re.compile(r"\\href\{[^{}\n]*\}\{([^{}]*)\}", re.I)
 
 ATX = re.compile(r"^ {0,3}(#{2,6})[ \t]+(\S[^\n]*?)[ \t]*#*[ \t]*$|^ {0,3}(#{1,6})([^\W\d_a-z][^\n]*?)[ \t]*$", re.M)
 ATX1 = re.compile(r"(?:\A|(?<=\n\n))# ([^\W\d_a-z][^\n]*?)[ \t]*(?=\n[ \t]*\n|\s*\Z)")
-SETEXT = re.compile(r"(?:\A|(?<=\n))([^\s|>#\-=][^\n\t|]{0,120})\n(?:={3,}|-{3,})[ \t]*(?=\n|\Z)")
+SETEXT = re.compile(r"(?:\A|(?<=\n))([^\s|>#\-=][^\n\t|]*)\n(?:={3,}|-{3,})[ \t]*(?=\n|\Z)")
 RULE = re.compile(r"^[ \t]*(?:(?:\*[ \t]*){3,}|-{3,})[ \t]*$\n?", re.M)
 QUOTE = re.compile(r"^[ \t]{0,3}>(?:[ \t]*>)*[ \t]?(?=\S|$)", re.M)
 TASK = re.compile(r"^([ \t]*[-*+][ \t]+)\[[ xX]\][ \t]+", re.M)
@@ -103,7 +105,9 @@ def entity(m: re.Match) -> str:
 def plain_formula(tex: str) -> str:
     """A readable spelling of a simple LaTeX formula."""
     s = re.sub(r"\\label\{[^{}]*\}", "", tex)
-    for _ in range(4):
+    before = None
+    while before != s:  # from the inside out, at any depth
+        before = s
         s = re.sub(r"\\frac\{([^{}]*)\}\{([^{}]*)\}", r"(\1)/(\2)", s)
         s = re.sub(r"\\sqrt\{([^{}]*)\}", r"√(\1)", s)
     s = re.sub(r"([_^])\{(\w)\}", r"\1\2", s)
@@ -133,39 +137,61 @@ def path_under(parent: str, tag: str, attrs: list[tuple[str, str | None]]) -> st
     return path if len(path) <= LONG_PATH else hashlib.md5(path.encode("utf-8", "replace")).hexdigest()
 
 
+KEPT_TAGS = {"div", "section", "article", "aside", "nav", "header", "footer", "main", "ul", "ol", "table", "details", "form", "p", "body", "noscript", "script", "style"}
+
+
+class _Open:
+    """The open containers of a page, as ``(tag, path)``; a paragraph ends where another begins."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, str]] = []
+
+    def start(self, tag: str, attrs) -> bool:
+        if tag not in KEPT_TAGS:
+            return False
+        if tag == "p" and self.stack and self.stack[-1][0] == "p":
+            self.stack.pop()
+        self.stack.append((tag, path_under(self.path, tag, attrs)))
+        return True
+
+    def end(self, tag: str) -> None:
+        """Close the innermost container of this tag and what is open within it; an end without a beginning closes nothing."""
+        for k in range(len(self.stack) - 1, -1, -1):
+            if self.stack[k][0] == tag:
+                del self.stack[k:]
+                break
+
+    @property
+    def path(self) -> str:
+        return self.stack[-1][1] if self.stack else ""
+
+
 class _Containers(HTMLParser):
     """Text, link text and punctuation under every container path of a page."""
 
-    KEPT = {"div", "section", "article", "aside", "nav", "header", "footer", "main", "ul", "ol", "table", "details", "form", "p", "body", "noscript", "script", "style"}
-
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, str]] = []
+        self.open = _Open()
         self.link = 0
-        self.found: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0, 0.0])
+        self.found: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0])
 
     def handle_starttag(self, tag, attrs):
         if tag == "a":
             self.link += 1
-        if tag in self.KEPT:
-            path = path_under(self.stack[-1][1] if self.stack else "", tag, attrs)
-            self.stack.append((tag, path))
-            self.found[path][3] += 1
+        if self.open.start(tag, attrs):
+            self.found[self.open.path]  # noqa: B018 - an empty container has its vote too
 
     def handle_endtag(self, tag):
         if tag == "a":
             self.link = max(0, self.link - 1)
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                del self.stack[k:]
-                break
+        self.open.end(tag)
 
     def handle_data(self, data):
         size = len(data.strip())
-        if not size or not self.stack:
+        if not size or not self.open.stack:
             return
-        code = self.stack[-1][0] in ("script", "style")
-        v = self.found[self.stack[-1][1]]
+        code = self.open.stack[-1][0] in DROPPED_TAGS
+        v = self.found[self.open.path]
         v[0] += size
         v[1] += size if self.link or code else 0
         v[2] += sum(data.count(c) for c in ".,;:")
@@ -183,17 +209,21 @@ def container_scores(text: str) -> dict[str, tuple[float, float, float]]:
 
 
 class _Extract(HTMLParser):
-    """Text of a page without lost containers, with block structure as lines."""
+    """Text of a page by the outcome for its container paths, with block structure as lines."""
 
-    def __init__(self, lost: frozenset[str]):
+    def __init__(self, outcome: dict[str, bool]):
         super().__init__(convert_charrefs=False)
-        self.lost, self.out = lost, []
-        self.stack: list[tuple[str, str]] = []
-        self.skip = 0
+        self.outcome, self.out = outcome, []
+        self.open = _Open()
         self.first_cell = True
 
+    def _kept(self) -> bool:
+        if any(t in DROPPED_TAGS for t, _ in self.open.stack[-1:]):
+            return False
+        return next((self.outcome[p] for _, p in reversed(self.open.stack) if p in self.outcome), True)
+
     def _emit(self, s: str) -> None:
-        if not self.skip:
+        if self._kept():
             self.out.append(s)
 
     def _line(self) -> None:
@@ -204,10 +234,7 @@ class _Extract(HTMLParser):
         if tag not in _TAG_SET:
             self._emit(self.get_starttag_text() or "")
             return
-        if tag in _Containers.KEPT:
-            self.stack.append((tag, path_under(self.stack[-1][1] if self.stack else "", tag, attrs)))
-            if self.stack[-1][1] in self.lost or tag in DROPPED_TAGS:
-                self.skip += 1
+        self.open.start(tag, attrs)
         if tag == "tr":
             self.first_cell = True
         if tag in ("td", "th"):
@@ -238,14 +265,7 @@ class _Extract(HTMLParser):
         if tag not in _TAG_SET:
             self._emit(f"</{tag}>")
             return
-        if tag in _Containers.KEPT:
-            for k in range(len(self.stack) - 1, -1, -1):
-                if self.stack[k][0] == tag:
-                    for t, path in self.stack[k:]:
-                        if path in self.lost or t in DROPPED_TAGS:
-                            self.skip = max(0, self.skip - 1)
-                    del self.stack[k:]
-                    break
+        self.open.end(tag)
         if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             self._line()
             self._emit("\n")
@@ -276,11 +296,11 @@ def _has_tag(text: str) -> bool:
     return False
 
 
-def _extract_html(text: str, lost: frozenset[str]) -> str:
+def _extract_html(text: str, outcome: dict[str, bool]) -> str:
     # comparisons and type arguments must not look like tags to the parser
     safe = re.sub(rf"<(?!/?(?:{'|'.join(TAGS)})(?:[\s/>]))", "\x02", text, flags=re.I)
     safe = _UPPER_GENERIC.sub(lambda m: "\x02" + m.group(1) + ">", safe).replace("&", "\x03")
-    p = _Extract(lost)
+    p = _Extract(outcome)
     p.feed(safe)
     p.close()
     return "".join(p.out).replace("\x02", "<").replace("\x03", "&")
@@ -333,7 +353,7 @@ def _call_text(m: re.Match) -> str:
     return "\n".join(f"{a.split('=', 1)[0].strip()}: {a.split('=', 1)[1].strip()}" if "=" in a else a for a in args)
 
 
-def convert(text: str | None, lost: frozenset[str] = frozenset()) -> tuple[str | None, list[str]]:
+def convert(text: str | None, outcome: dict[str, bool] | None = None) -> tuple[str | None, list[str]]:
     """Clean text and the sorted kinds of constructs that were removed or converted."""
     if not text:
         return text, []
@@ -386,7 +406,7 @@ def convert(text: str | None, lost: frozenset[str] = frozenset()) -> tuple[str |
         apply(CODE_SPAN, lambda m: hold(m.group(2).strip()), "code_span")
     if "<" in t and _has_tag(t):
         kinds.add("html")
-        t = _extract_html(t, lost)
+        t = _extract_html(t, outcome or {})
     if "&" in t:
         before = t
         t = ENTITY.sub(entity, t)
@@ -442,47 +462,53 @@ def convert(text: str | None, lost: frozenset[str] = frozenset()) -> tuple[str |
     return BLANKS.sub("\n\n", t).strip(" \n"), sorted(kinds)
 
 
-#: Pages of a host that must hold a path before it can lose, and the share of link or script text that loses.
+#: Pages of a host that must hold a path before it is decided, and the share of link or script text from which a page is against it.
 MIN_PAGES = 5
 LOSING_LINKS = 0.8
 
 
+def page_votes(text: str) -> dict[str, int]:
+    """Vote of one page on each of its container paths: 1 for text, -1 for links and scripts, 0 for an empty container."""
+    return {path: 0 if not size else -1 if links >= LOSING_LINKS and marks < size / 40 else 1 for path, (size, links, marks) in container_scores(text).items()}
+
+
 def vote_paths(df: DataFrame, host: str, text: str) -> DataFrame:
-    """``host, lost``: container paths each host's pages agree to be links or scripts, not text."""
+    """``host, outcome``: for every container path that its pages decide, whether it won (holds text)."""
     rows = df.select(df[host].alias("host"), df[text].alias("text")).where("host is not null and contains(text, '<')")
 
     def run(batches):
         for b in batches:
-            sums: dict[tuple[str, str], list[float]] = {}
+            sums: dict[tuple[str, str], list[int]] = {}
             for h, t in zip(b.column("host").to_pylist(), b.column("text").to_pylist()):
-                if not _has_tag(t):
-                    continue
-                for path, (size, links, marks) in container_scores(t).items():
-                    v = sums.setdefault((h, path), [0.0, 0.0, 0.0, 0.0])
-                    for k, x in enumerate((1.0, size, links * size, marks)):
-                        v[k] += x
-            cols = list(zip(*[(h, p, *v) for (h, p), v in sums.items()])) or [[]] * 6
-            kinds = [pa.string(), pa.string(), *[pa.float64()] * 4]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["host", "path", "pages", "size", "links", "marks"])
-
-    partial = rows.mapInArrow(run, "host string, path string, pages double, size double, links double, marks double")
-    votes = partial.groupBy("host", "path").agg(*[F.sum(c).alias(c) for c in ("pages", "size", "links", "marks")])
-    loses = (F.col("pages") >= MIN_PAGES) & (F.col("size") > 0) & (F.col("links") >= LOSING_LINKS * F.col("size")) & (F.col("marks") < F.col("size") / 40)
-    return votes.where(loses).groupBy("host").agg(F.collect_set("path").alias("lost"))
+                if _has_tag(t):
+                    for path, vote in page_votes(t).items():
+                        v = sums.setdefault((h, path), [0, 0])
+                        v[0] += vote != 0
+                        v[1] += vote
+            cols = list(zip(*[(h, p, *v) for (h, p), v in sums.items()])) or [[]] * 4
+            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["host", "path", "pages", "votes"])
+
+    partial = rows.mapInArrow(run, "host string, path string, pages long, votes long")
+    decided = partial.groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.sum("votes").alias("votes")).where(f"pages >= {MIN_PAGES} and votes <> 0")
+    # a host where nothing lost needs no outcome: its pages are kept whole
+    per = decided.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("path", F.col("votes") > 0))).alias("outcome"), F.min("votes").alias("least"))
+    return per.where("least < 0").select("host", "outcome")
 
 
 def clean(df: DataFrame, keys: list[str], host: Column, text: str = "text", with_text: bool = True) -> DataFrame:
     """``keys``, ``clean_text`` and ``kinds`` of every row; ``host`` says whose pages vote together."""
     rows = df.select(*[df[k] for k in keys], host.alias("_host"), df[text].alias("_text"))
-    lost = vote_paths(rows, "_host", "_text").withColumnRenamed("host", "_host")
-    joined = join_bounded(rows, lost, ["_host"], "left", row_bytes=512, salt=16).select(*keys, "_text", "lost")
+    outcome = vote_paths(rows, "_host", "_text").withColumnRenamed("host", "_host")
+    joined = join_bounded(rows, outcome, ["_host"], "left", salt=16).select(*keys, "_text", "outcome")
     n = len(keys)
     fields = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
 
     def run(batches):
         for b in batches:
-            texts, losers = b.column(n).to_pylist(), b.column(n + 1).to_pylist()
-            done = [convert(t, frozenset(x) if x else frozenset()) for t, x in zip(texts, losers)]
+            texts, outcomes = b.column(n).to_pylist(), b.column(n + 1)
+            maps = [None] * len(texts) if outcomes.null_count == len(texts) else outcomes.to_pylist()
+            done = [convert(t, dict(x) if x else None) for t, x in zip(texts, maps)]
             cleaned = pa.array([x[0] for x in done], pa.string()) if with_text else pa.nulls(len(done), pa.string())
             kinds = pa.array([x[1] for x in done], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(n)], cleaned, kinds], names=[*keys, "clean_text", "kinds"])

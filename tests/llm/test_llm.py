@@ -93,6 +93,32 @@ def test_markup_votes_and_edges(spark):
     assert markup.clean(df.limit(0), ["key"], F.col("host")).count() == 0
 
 
+def test_winning_paths_inside_losing_ones(spark):
+    links = "".join(f'<a href="{i}">entry {i}</a> ' for i in range(12))
+    page = f'<div class="shell">{links}<div class="main"><p>The text, with marks.<p>And more, of it.</div><div class="menu">{links}</div></div>'
+    rows = [("h", f"k{i}", page) for i in range(6)] + [("few", f"f{i}", page) for i in range(4)] + [("text", f"t{i}", f"<div>Title</div><p>Only text {i}.</p>") for i in range(6)]
+    got = {r["key"]: r["clean_text"] for r in markup.clean(spark.createDataFrame(rows, "host string, key string, text string"), ["key"], F.col("host")).collect()}
+    assert got["k0"] == "The text, with marks.\nAnd more, of it."  # the shell and the menu lose, the main part wins
+    assert "entry 3" in got["f0"] and got["t1"] == "Title\nOnly text 1."  # too few pages, and nothing that loses: the whole page
+    outcome = {r["host"]: r["outcome"] for r in markup.vote_paths(spark.createDataFrame(rows, "host string, key string, text string"), "host", "text").collect()}
+    assert outcome == {"h": {"div.shell": False, "div.shell>div.main>p": True, "div.shell>div.menu": False}}
+
+
+def test_end_tags_close_their_own_container():
+    page = "".join(f'<div class="c{chr(97 + i)}">' for i in range(8)) + "deep" + "</div>" * 3 + "<p>next</p></span></section>" + "</div>" * 5 + "<p>last</p>"
+    paths = list(markup.container_scores(page))
+    assert paths[-2].endswith("div.ce>p") and paths[-1] == "p" and paths[-2].count(">") == 5
+
+
+def test_long_headings_and_deep_formulas():
+    title = "word " * 60 + "end"
+    assert markup.convert(f"{title}\n=====\nbody") == (f"{title}\nbody", ["heading"])
+    tex = "x"
+    for _ in range(7):
+        tex = rf"\frac{{{tex}}}{{y}}"
+    assert "frac" not in markup.convert(rf"a $${tex}$$ b")[0]
+
+
 def test_deep_containers_vote(spark):
     for depth in (8, 300):
         deep = "<div>" * depth + '<div class="menu"><a href="x">one</a> <a href="y">two</a></div>' + "Real text, with marks." + "</div>" * depth

@@ -70,8 +70,7 @@ def compare_versions(args: argparse.Namespace) -> None:
             sides = []
             for version in (s.canonical_version, other):
                 rows = files.with_digest(files.read_folders(spark, {(project, version): str(folder / version)}, str(args.docs)))
-                inner = F.array_join(F.slice(F.split("relative_path", "/"), 4, 1000), "/")
-                sides.append(rows.select(inner.alias("path"), "sha256"))
+                sides.append(rows.select(files.inner_path("relative_path").alias("path"), "sha256"))
             counts = _by(files.compare(*sides, "path", "sha256"), "status")
             print(project, s.canonical_version, other, counts)
 

@@ -78,10 +78,6 @@ def clean_heading(c: str | Column) -> Column:
     return F.regexp_replace(_col(c), r"\*\*(.+?)\*\*|__(.+?)__", "$1$2")
 
 
-def strip_backticks(c: str | Column) -> Column:
-    return strip(F.btrim(strip(c), F.lit("`")))
-
-
 def path_text(path: str | Column) -> Column:
     """A section path as ``A > B > C``."""
     return F.array_join(_col(path), " > ")
@@ -97,12 +93,3 @@ def length_ok(question: str | Column, answer: str | Column, least: int = 8, most
     """A question of ``least`` to ``most`` characters and an answer that is not blank."""
     q, a = F.length(strip(question)), F.length(strip(answer))
     return F.coalesce(q.between(least, most) & (a > 0), F.lit(False))
-
-
-def pipe_rows(c: str | Column) -> Column:
-    """Cells of a pipe table's header and rows (array of arrays): lines that begin with a pipe, without the second one
-    (the rule), and without rows whose number of cells is not the header's; null for fewer than two lines."""
-    lines = F.filter(F.split(_col(c), "\n"), lambda x: F.ltrim(x).startswith("|"))
-    cells = F.transform(lines, lambda x: F.transform(F.split(F.btrim(F.btrim(x), F.lit("|")), r"\|"), lambda y: F.btrim(y)))
-    body = F.filter(F.slice(cells, 3, 1_000_000), lambda r: F.size(r) == F.size(F.get(cells, F.lit(0))))
-    return F.when(F.size(cells) >= 2, F.concat(F.slice(cells, 1, 1), body))

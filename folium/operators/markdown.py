@@ -204,12 +204,32 @@ def heading_title(title: str) -> str:
     return re.sub(r"\*\*(.+?)\*\*|__(.+?)__", lambda m: m[1] or m[2], title)
 
 
+def line_starts(lines: list[str]) -> list[int]:
+    """Offset of the first character of every line."""
+    starts = [0]
+    for line in lines[:-1]:
+        starts.append(starts[-1] + len(line) + 1)
+    return starts
+
+
+def line_offsets(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, line_no, char_start`` of every line of every non-null text, as the parser counts them."""
+    rows = df.select(df[key].alias("key"), df[text].alias("text")).where("text is not null")
+
+    def run(batches):
+        for b in batches:
+            starts = [line_starts(t.split("\n")) for t in b.column(1).to_pylist()]
+            take = pa.array([i for i, s in enumerate(starts) for _ in s], pa.int64())
+            numbers = pa.array([k for s in starts for k in range(len(s))], pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), numbers, pa.array([x for s in starts for x in s], pa.int64())], names=["key", "line_no", "char_start"])
+
+    return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, line_no int, char_start long")
+
+
 def parse(text: str, stem: str) -> list[dict]:
     """Blocks of a page in order, with ``section_idx, heading, level, section_path, block_idx``."""
     lines = text.split("\n")
-    starts = [0]
-    for line in lines:
-        starts.append(starts[-1] + len(line) + 1)
+    starts = line_starts(lines)
     stack: list[tuple[int, str]] = []
     heading: str | None = None
     level, path, section, index, out = 0, [stem], 0, 0, []

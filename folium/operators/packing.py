@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folium.functions.text import LOW_SIGNAL_TOKENS, is_placeholder
+from folium.functions.text import is_low_signal
 
 #: Pieces of a text whose number is its size for packing: words and single symbols, with the blanks after them.
 PIECE = r"(?U)(?:[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_])\s*"
@@ -116,6 +116,12 @@ def token_windows(text: Column, config: PackingConfig) -> Column:
     return F.transform(F.sequence(F.lit(0), count - 1), window)
 
 
+def numbered(rows: DataFrame, doc: str, order: list[str]) -> DataFrame:
+    """``rows`` with ``chunk_index``, their place in the document from 0, and ``n_chunks_in_doc``."""
+    whole = Window.partitionBy(doc)
+    return rows.withColumn("chunk_index", F.row_number().over(whole.orderBy(*order)) - 1).withColumn("n_chunks_in_doc", F.count("*").over(whole))
+
+
 def chunks(blocks: DataFrame, config: PackingConfig = PackingConfig()) -> DataFrame:
     """Chunks of every document: ``doc_id, chunk_index, n_chunks_in_doc, section_idx, text, n_tokens,
     content_type, char_start, char_end, is_low_signal``. ``section_idx`` is the section whose path the chunk has.
@@ -131,17 +137,14 @@ def chunks(blocks: DataFrame, config: PackingConfig = PackingConfig()) -> DataFr
         joined.alias("text"), F.sum("n_tokens").alias("n_tokens"), kind.alias("content_type"), F.min("char_start").alias("char_start"),
         F.max("char_end").alias("char_end"), F.count("*").alias("_n"), F.min(at).alias("_at"),
     ).withColumn("window", F.lit(0))
-    low = (F.col("n_tokens") < LOW_SIGNAL_TOKENS) | ((F.col("_n") == 1) & is_placeholder("text"))
-    whole = whole.withColumn("is_low_signal", low)
+    whole = whole.withColumn("is_low_signal", is_low_signal("n_tokens", "text", F.col("_n") == 1))
     cut = packed.where("windowed").withColumn("w", F.explode(token_windows(F.col("text"), config)))
     cut = cut.select(
         "doc_id", "group_idx", "part", "path_idx", F.col("w.text").alias("text"), F.col("w.n_tokens").cast("long").alias("n_tokens"), "content_type", "char_start",
         "char_end", F.lit(1).cast("long").alias("_n"), at.alias("_at"), F.col("w.window").alias("window"), F.lit(False).alias("is_low_signal"),
     )
     every = whole.select(*cut.columns).unionByName(cut)
-    doc = Window.partitionBy("doc_id")
-    place = doc.orderBy("group_idx", "part", "window")
-    return every.select(
-        "doc_id", (F.row_number().over(place) - 1).alias("chunk_index"), F.count("*").over(doc).alias("n_chunks_in_doc"), F.col("path_idx").alias("section_idx"),
+    return numbered(every, "doc_id", ["group_idx", "part", "window"]).select(
+        "doc_id", "chunk_index", "n_chunks_in_doc", F.col("path_idx").alias("section_idx"),
         "text", "n_tokens", "content_type", "char_start", "char_end", "is_low_signal",
     )

@@ -87,7 +87,8 @@ def schema_pairs(text: str) -> list[Pair]:
     if kind := GRAMMAR["type"].search(text):
         out.append((ASK["schema"].format(schema=schema), kind["text"].strip(), kind[0], "extractive", "openapi_schema_type"))
     for m, line in _first_lines("property", "name", text):
-        answer = f"{m['type']}. {m['text']}".strip(".").strip() + ("." if m["text"] else "")
+        described = ". ".join([m["type"], m["text"]]).strip(".").strip()
+        answer = described + "." if m["text"] else described
         out.append((ASK["property"].format(name=m["name"], schema=schema), answer, line, "extractive", "openapi_schema_property_type"))
         if m["enum"]:
             out.append((ASK["property_enum"].format(name=m["name"], schema=schema), m["enum"], line, "enum", "openapi_schema_property_enum"))
@@ -106,6 +107,20 @@ def read_table(text: str) -> tuple[list[str], list[list[str]]]:
     return cells[0], [row for row in cells[2:] if len(row) == len(cells[0])]
 
 
+def tables(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, header, rows`` of every text that holds a pipe table."""
+    wanted = df.select(df[key].alias("key"), df[text].alias("text")).where("contains(text, '|')")
+
+    def run(batches):
+        for b in batches:
+            read = [(k, *read_table(t)) for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            cols = list(zip(*[r for r in read if r[1]])) or [[]] * 3
+            kinds = [b.schema.field(0).type, pa.list_(pa.string()), pa.list_(pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["key", "header", "rows"])
+
+    return wanted.mapInArrow(run, f"key {dict(wanted.dtypes)['key']}, header array<string>, rows array<array<string>>")
+
+
 def _row_line(text: str, row: list[str]) -> str | None:
     """The line of the text that holds a row, as written there."""
     rebuilt = f"| {' | '.join(row)} |"

@@ -10,7 +10,7 @@ from folium.functions.html_text import html_text
 from folium.operators import balance, components, duplicates, embeddings, markdown, packing, quality, questions
 from folium.plans import pipeline, reports
 from folium.plans.registry import query
-from folium.runtime import Stage, table
+from folium.runtime import Stage, join_bounded, table
 from folium.sources import files
 
 # ---- SQL fragments: white space, folding and the fingerprint as DuckDB spells them
@@ -90,16 +90,16 @@ def normal_questions(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "qa_row").select("id", tx.normal_question("question").alias("norm"))
 
 
-@query("headings", r"SELECT id, regexp_replace(regexp_replace(heading, '\*\*(.+?)\*\*', '\1', 'g'), '__(.+?)__', '\1', 'g') AS heading, string_split(section_path, ' > ')[-1] AS last_title, len(string_split(section_path, ' > ')) AS depth FROM corpus_row")
+@query("headings", r"SELECT id, section_path AS rendered_path, regexp_replace(regexp_replace(heading, '\*\*(.+?)\*\*', '\1', 'g'), '__(.+?)__', '\1', 'g') AS heading, string_split(section_path, ' > ')[-1] AS last_title, len(string_split(section_path, ' > ')) AS depth FROM corpus_row")
 def headings(spark: SparkSession, d: str) -> DataFrame:
     path = F.split("section_path", " > ")
-    return table(spark, d, "corpus_row").select("id", tx.clean_heading("heading").alias("heading"), F.element_at(path, -1).alias("last_title"), F.size(path).alias("depth"))
+    return table(spark, d, "corpus_row").select("id", tx.path_text(path).alias("rendered_path"), tx.clean_heading("heading").alias("heading"), F.element_at(path, -1).alias("last_title"), F.size(path).alias("depth"))
 
 
 @query("html_text")
 def html_texts(spark: SparkSession, d: str) -> DataFrame:
-    """Text of every chunk that holds a tag; the parser has no SQL form."""
-    return table(spark, d, "corpus_row").where(F.col("text").rlike("<[A-Za-z/!]")).select("id", html_text(F.col("text")).alias("clean"))
+    """Text of every chunk as if it were HTML; the parser has no SQL form."""
+    return table(spark, d, "corpus_row").select("id", html_text(F.col("text")).alias("clean"))
 
 
 # ---- exact duplicates
@@ -184,27 +184,35 @@ def token_windows(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- near duplicates by vectors
 
-COSINE = 0.4
+#: Cosine from which vectors are near duplicates.
+COSINE = 0.9
+#: Ids of the twins in the vector queries: every vector of the table is compared together with a twin, blurred by its right neighbours.
+TWIN = 1_000_000_000
+BLUR = 0.3
 
 
-@query(
-    "near_vector_pairs",
-    f"""
-    SELECT a.vec_id AS id_a, b.vec_id AS id_b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id
-    WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= {COSINE}""",
-)
+def _with_twins(spark: SparkSession, d: str) -> DataFrame:
+    v = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"), "label")
+    size = F.size("embedding")
+    blurred = F.transform("embedding", lambda x, i: x + F.lit(BLUR) * F.get("embedding", (i + 1) % size))
+    return v.unionByName(v.select((F.col("vec_id") + TWIN).alias("vec_id"), blurred.alias("embedding"), "label"))
+
+
+_TWINS_SQL = f"""
+    WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings),
+    t AS (SELECT * FROM e UNION ALL SELECT vec_id + {TWIN}, list_transform(range(1, len(v) + 1), lambda i: v[i] + {BLUR} * v[i % len(v) + 1]), label FROM e)
+    SELECT a.vec_id AS id_a, b.vec_id AS id_b FROM t a JOIN t b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= {COSINE}"""
+
+
+@query("near_vector_pairs", _TWINS_SQL)
 def near_vector_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return duplicates.vector_pairs(table(spark, d, "embeddings"), "vec_id", "embedding", "label", COSINE).select("id_a", "id_b")
+    """Every vector meets its twin, and few others."""
+    return duplicates.vector_pairs(_with_twins(spark, d), "vec_id", "embedding", "label", COSINE).select("id_a", "id_b")
 
 
-@query(
-    "hashed_vector_pairs",
-    f"""
-    SELECT a.vec_id AS id_a, b.vec_id AS id_b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id
-    WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= {COSINE}""",
-)
+@query("hashed_vector_pairs", _TWINS_SQL)
 def hashed_vector_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return duplicates.hashed_vector_pairs(table(spark, d, "embeddings"), "vec_id", "embedding", "label", COSINE, 64, bits=4, tables=60).select("id_a", "id_b")
+    return duplicates.hashed_vector_pairs(_with_twins(spark, d), "vec_id", "embedding", "label", COSINE, 64).select("id_a", "id_b")
 
 
 @query(
@@ -363,11 +371,10 @@ def counts_by_type(spark: SparkSession, d: str) -> DataFrame:
 )
 def version_compare(spark: SparkSession, d: str) -> DataFrame:
     """Files of the curated version of every project against those of its latest one."""
-    inner = F.array_join(F.slice(F.split("relative_path", "/"), 4, 1000), "/")
-    rows = table(spark, d, "source_file").groupBy("project", "project_version", inner.alias("inner")).agg(F.max("size_bytes").alias("size_bytes"))
+    rows = table(spark, d, "source_file").groupBy("project", "project_version", files.inner_path("relative_path").alias("inner")).agg(F.max("size_bytes").alias("size_bytes"))
     rows = rows.withColumn("path", F.concat_ws("/", "project", "inner")).where("project is not null")
     sources = table(spark, d, "project_source").select("project", F.col("canonical_version").alias("project_version"))
-    left = rows.join(F.broadcast(sources), ["project", "project_version"])
+    left = join_bounded(rows, sources, ["project", "project_version"], "inner")
     return files.compare(left, rows.where("project_version = 'latest'"), "path", "size_bytes")
 
 
@@ -377,10 +384,10 @@ def version_compare(spark: SparkSession, d: str) -> DataFrame:
        FROM (SELECT DISTINCT relative_path, file_kind, project, project_version FROM source_file) f LEFT JOIN project_source s ON s.project = f.project""",
 )
 def files_with_sources(spark: SparkSession, d: str) -> DataFrame:
-    """Files with their project's curated version; the project table is fixed and small, so it is broadcast."""
+    """Files with their project's curated version."""
     f = table(spark, d, "source_file").select("relative_path", "file_kind", "project", "project_version").distinct()
     s = table(spark, d, "project_source").select("project", "canonical_version", "reason")
-    out = f.join(F.broadcast(s), "project", "left")
+    out = join_bounded(f, s, ["project"], "left")
     return out.select("relative_path", "file_kind", (F.col("canonical_version") == F.col("project_version")).alias("canonical"), "reason")
 
 
@@ -389,9 +396,8 @@ def files_with_sources(spark: SparkSession, d: str) -> DataFrame:
     f"SELECT id, row_number() OVER (PARTITION BY doc_id ORDER BY chunk_index, id) - 1 AS place, count(*) OVER (PARTITION BY doc_id) AS n_in_doc FROM {_ROWS_SQL}",
 )
 def chunk_order(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("doc_id")
-    place = (F.row_number().over(w.orderBy("chunk_index", "id")) - 1).alias("place")
-    return _rows(spark, d, "doc_id", "chunk_index").select("id", place, F.count("*").over(w).alias("n_in_doc"))
+    rows = _rows(spark, d, "doc_id", "chunk_index").withColumnRenamed("chunk_index", "stored")
+    return packing.numbered(rows, "doc_id", ["stored", "id"]).select("id", F.col("chunk_index").alias("place"), F.col("n_chunks_in_doc").alias("n_in_doc"))
 
 
 # ---- questions and answers
@@ -540,9 +546,10 @@ def hashed_text_vectors(spark: SparkSession, d: str) -> DataFrame:
 )
 def pipe_tables(spark: SparkSession, d: str) -> DataFrame:
     """Header and rows of every pipe table in the chunks, as tab-separated lines."""
-    rows = table(spark, d, "corpus_row").where("contains(text, '|')").select("id", tx.pipe_rows("text").alias("r")).where("r is not null")
-    joined = F.array_join(F.transform("r", lambda x: F.array_join(x, "\t")), "\n")
-    return rows.select("id", F.size("r").alias("n_rows"), F.size(F.get("r", F.lit(0))).alias("n_columns"), joined.alias("cells"))
+    found = questions.tables(table(spark, d, "corpus_row"), "id", "text")
+    rows = F.concat(F.array("header"), F.col("rows"))
+    joined = F.array_join(F.transform(rows, lambda x: F.array_join(x, "\t")), "\n")
+    return found.select(F.col("key").alias("id"), F.size(rows).alias("n_rows"), F.size("header").alias("n_columns"), joined.alias("cells"))
 
 
 @query(
@@ -553,8 +560,6 @@ def pipe_tables(spark: SparkSession, d: str) -> DataFrame:
     SELECT block_id, CAST(n - 1 AS INT) AS line_no, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY block_id, text ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS char_start FROM l""",
 )
 def line_offsets(spark: SparkSession, d: str) -> DataFrame:
-    """First character of every line of every block, by a fold over the line lengths inside the row."""
-    blocks = table(spark, d, "doc_block").where("text is not null").select("block_id", "text").distinct()
-    ends = F.aggregate(F.split("text", "\n"), F.array(F.lit(0).cast("long")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(x) + 1)))
-    starts = F.slice(ends, 1, F.size(F.split("text", "\n")))
-    return blocks.select("block_id", F.posexplode(starts).alias("line_no", "char_start"))
+    """First character of every line of every block."""
+    blocks = table(spark, d, "doc_block").select("block_id", "text").distinct()
+    return markdown.line_offsets(blocks, "block_id", "text").withColumnRenamed("key", "block_id")

@@ -24,7 +24,7 @@ def read_folders(spark: SparkSession, folders: dict[tuple[str, str], str], root:
     """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sorted(folders.values()))
     base = root.rstrip("/").rsplit("/", 1)[0] + "/"
-    rel = F.substring(_plain_path(F.col("path")), len(base) + 1, 1_000_000)
+    rel = F.substr(_plain_path(F.col("path")), F.lit(len(base) + 1))
     parts = F.split(rel, "/")
     return raw.select(
         rel.alias("relative_path"), parts[1].alias("project"), parts[2].alias("project_version"), F.element_at(parts, -1).alias("name"),
@@ -63,6 +63,12 @@ def with_digest(files: DataFrame) -> DataFrame:
     return files.withColumn("sha256", F.sha2("content", 256))
 
 
+def inner_path(path: str | Column) -> Column:
+    """What follows ``root/project/version/`` in a path."""
+    parts = F.split(path, "/")
+    return F.array_join(F.slice(parts, 4, F.greatest(F.size(parts) - 3, F.lit(0))), "/")
+
+
 def compare(left: DataFrame, right: DataFrame, path: str, digest: str) -> DataFrame:
     """``path, status`` over both sides: same, different, only_left or only_right."""
     a = left.select(F.col(path).alias("path"), F.col(digest).alias("da"), F.lit(1).alias("a"))

@@ -1,12 +1,13 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from folium.operators import balance, components, duplicates, embeddings, packing, quality
 from folium.operators.prefix import running_sum
 from folium.plans import reports
-from folium.runtime import Stage, join_bounded
+from folium.runtime import Stage, join_bounded, join_unique, shared_dir
 
 
 def test_mark_duplicates_points_at_first_in_order(spark):
@@ -30,12 +31,29 @@ def test_vector_pairs_both_ways_against_brute_force(spark):
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     want = {(i, j) for i in range(len(unit)) for j in range(i + 1, len(unit)) if i % 2 == j % 2 and unit[i] @ unit[j] >= 0.9}
     assert want
-    got = {(r["id_a"], r["id_b"]) for r in duplicates.vector_pairs(df, "id", "v", "kind", 0.9, blocks=3).collect()}
+    got = {(r["id_a"], r["id_b"]) for r in duplicates.vector_pairs(df, "id", "v", "kind", 0.9, block=7).collect()}
     assert got == want
     hashed = {(r["id_a"], r["id_b"]) for r in duplicates.hashed_vector_pairs(df, "id", "v", "kind", 0.9, 16).collect()}
     assert hashed == want
 
 
+def test_hashed_candidates_are_few_and_split(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    base = rng.standard_normal((1500, 32))
+    vectors = np.concatenate([base, base + 0.1 * rng.standard_normal((1500, 32))])
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, [float(x) for x in v], "k") for i, v in enumerate(vectors)], "id long, v array<double>, kind string")
+    bits, tables = duplicates.hash_plan(len(vectors), 0.9)
+    met = duplicates.hashed_candidates(df, 32, bits, tables, 3)
+    assert met.count() < 0.06 * len(vectors) ** 2 / 2
+    monkeypatch.setattr(duplicates, "BUCKET", 3)  # buckets in blocks give the same candidates
+    assert duplicates.hashed_candidates(df, 32, 6, 2, 3).exceptAll(duplicates.hashed_candidates(df, 32, 6, 2, 3)).count() == 0
+    split = {(r["x"], r["y"]) for r in duplicates.hashed_candidates(df.where("id < 300"), 32, 6, 2, 3).collect()}
+    monkeypatch.setattr(duplicates, "BUCKET", 500)
+    assert split == {(r["x"], r["y"]) for r in duplicates.hashed_candidates(df.where("id < 300"), 32, 6, 2, 3).collect()}
+    assert duplicates.hash_plan(10**9, 0.9)[0] > duplicates.hash_plan(10**6, 0.9)[0] > bits
+
+
 def union_find(nodes, edges):
     parent = {n: n for n in nodes}
 
@@ -61,6 +79,45 @@ def test_components_against_union_find(spark):
     assert empty.collect()[0].asDict() == {"node": "a", "component": "a"}
 
 
+def test_components_of_chains_and_hubs(spark, monkeypatch):
+    rounds = []
+    put = Stage.put
+    monkeypatch.setattr(Stage, "put", lambda self, df, *a: rounds.append("parent" in df.columns and "root" not in df.columns) or put(self, df, *a))
+    names = [*range(0, 1602, 2), *range(1601, 0, -2)]  # up the even numbers and down the odd ones
+    chain = spark.createDataFrame(list(zip(names, names[1:])), "u long, v long")
+    got = components.components(spark.range(1602).withColumnRenamed("id", "node"), chain)
+    assert got.where("component <> 0").count() == 0 and got.count() == 1602
+    assert sum(rounds) <= 60  # hooks, and steps of pointer jumping
+    hub = spark.createDataFrame([(500, i) for i in range(400)] + [(i, i + 1000) for i in range(50)], "u long, v long")
+    nodes = hub.selectExpr("explode(array(u, v)) as node")
+    assert {r["component"] for r in components.components(nodes, hub, hot_rows=20).collect()} == {0}
+
+
+def test_join_unique_splits_hot_keys(spark):
+    left = Stage(spark, "t").put(spark.createDataFrame([(0 if i % 2 else i, i) for i in range(200)] + [(None, 7)], "k int, v int"))
+    right = spark.createDataFrame([(i, f"x{i}") for i in range(150)], "k int, w string")
+    for how in ("inner", "left"):
+        a = sorted((r["k"] or -1, r["v"], r["w"] or "") for r in join_unique(left, right, "k", how).collect())
+        assert a == sorted((r["k"] or -1, r["v"], r["w"] or "") for r in join_unique(left, right, "k", how, hot_rows=10).collect())
+
+
+def test_no_machine_local_folder_on_a_cluster(spark, monkeypatch):
+    class Far:
+        master = "spark://x"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Far()
+
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session())
+
+
 def lpt(weights, ties, test=0.2, val=0.2):
     total = sum(weights.values())
     goal = balance.targets(total, test, val)

@@ -32,7 +32,6 @@ def test_placeholder(spark, text, expected):
 def test_question_heading_backticks_path(spark):
     assert one(spark, ["¿Qué  es X? "], tx.normal_question("t"))[0][0] == "qué es x"
     assert one(spark, ["**Bold** and __more__ *one*"], tx.clean_heading("t"))[0][0] == "Bold and more *one*"
-    assert one(spark, [" `GET /` "], tx.strip_backticks("t"))[0][0] == "GET /"
     assert one(spark, ["x"], tx.path_text(F.array(F.lit("A"), F.lit("B"))))[0][0] == "A > B"
 
 
@@ -53,12 +52,3 @@ def test_html_text(spark):
     html = "<p>Hola <b>a</b>&amp;b</p><!-- x --><script>no()</script><ul><li> uno </li></ul>"
     assert html_to_text(html) == "Hola a &b uno"
     assert one(spark, [html, None], html_text(F.col("t"))) == [("Hola a &b uno",), (None,)]
-
-
-def test_pipe_rows_follow_the_template_reader(spark):
-    from folium.operators.questions import read_table
-
-    for text in ["| A | B |\n|---|---|\n| 1 | |\n| x |\n  | 2 | 3 |", "no table", "| only |", "", "||A||\n|-|\n|1|"]:
-        header, rows = read_table(text)
-        got = one(spark, [text], tx.pipe_rows("t"))[0][0]
-        assert (got or []) == ([header, *rows] if header else [])

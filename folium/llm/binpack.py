@@ -132,7 +132,8 @@ def pack(
         (df[source].cast("string") if source else none).alias("source"),
         (df[cluster].cast("string") if cluster else none).alias("cluster"),
     )
-    items = items.groupBy("key").agg(*[F.min(c).alias(c) for c in ("size", "source", "cluster")])
+    # of repeated keys one row is kept whole, the smallest
+    items = items.groupBy("key").agg(F.min(F.struct("size", "source", "cluster")).alias("_row")).select("key", "_row.*")
     n_blocks = max(1, math.ceil(df.count() / block_items))
     blocked = items.withColumn("block", F.pmod(F.xxhash64("key", F.lit(11)), F.lit(n_blocks)).cast("int"))
 

@@ -5,8 +5,8 @@ small-star steps, then a hash of the component falls into ranges proportional to
 
 Records are reduced to their distinct entity sets first: the graph has entities as nodes, and each
 distinct set contributes a path of edges. A hot entity costs nothing more than its distinct sets. Both
-star steps are a minimum per node (combined map-side) joined back to the edges, never a collected
-neighbourhood. Edge tables are written to the shared folder after every step.
+star steps are a minimum per node (combined map-side) joined back to the edges, with hot nodes taken out of
+the shuffle (``join_unique``), never a collected neighbourhood. Edge tables are written to the shared folder after every step.
 
 Records whose entities are all null form a component of their own by record key. Repeated rows of one
 record share its entities. Blank and unevenly spelled existing splits are normalised or null.
@@ -16,10 +16,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folium.runtime import Stage
+from folium.runtime import Stage, join_unique
 
 # Spellings of the three splits after trimming and lower-casing.
 SPLIT_NAMES = {"train": "train", "training": "train", "val": "val", "valid": "val", "validation": "val", "dev": "val", "test": "test", "testing": "test"}
@@ -46,13 +46,13 @@ def _state(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return join_unique(both, least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    joined = down.join(least, "u")
+    joined = join_unique(down, least, "u")
     out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     return out.where("u <> v").distinct()
 
@@ -72,7 +72,7 @@ def star_components(edges: DataFrame, stage: Stage) -> DataFrame:
         if state == before:
             break
     stars = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return nodes.join(stars, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return join_unique(nodes, stars, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
 def entity_components(df: DataFrame, record: str, entities: dict[str, Column]) -> DataFrame:
@@ -88,8 +88,18 @@ def entity_components(df: DataFrame, record: str, entities: dict[str, Column]) -
     # a record repeated with other entities links them all
     repeated = sets.select("record", F.get("es", F.lit(0)).alias("first")).groupBy("record").agg(F.min("first").alias("u"), F.max("first").alias("v")).where("u <> v").select("u", "v")
     components = star_components(links.unionByName(repeated), stage)
-    keyed = sets.select("record", F.get("es", F.lit(0)).alias("node"))
-    return keyed.join(components, "node").groupBy("record").agg(F.min("component").alias("component"))
+    keyed = stage.put(sets.select("record", F.get("es", F.lit(0)).alias("node")))
+    return join_unique(keyed, components, "node").groupBy("record").agg(F.min("component").alias("component"))
+
+
+def reached_shares(assigned: DataFrame, shares: dict[str, float]) -> DataFrame:
+    """Per split: its target share, records, components and reached share of the records."""
+    total = sum(shares.values())
+    per = assigned.groupBy("split").agg(F.count("*").alias("records"), F.count_distinct("component").alias("components"))
+    goal = assigned.sparkSession.createDataFrame([(s, v / total) for s, v in shares.items()], "split string, target_share double")
+    out = goal.join(F.broadcast(per), "split", "left")  # one row per split on both sides
+    return out.select("split", "target_share", F.coalesce("records", F.lit(0)).alias("records"), F.coalesce("components", F.lit(0)).alias("components"),
+                      F.coalesce(F.col("records") / F.sum("records").over(Window.partitionBy()), F.lit(0.0)).alias("reached_share"))
 
 
 def assign(components: DataFrame, shares: dict[str, float], seed: int = 29) -> DataFrame:

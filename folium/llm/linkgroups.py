@@ -7,7 +7,7 @@ their roots, loops dropped and the rest deduplicated, until no edge remains. The
 that still have edges at least halves per round.
 
 Selection is a plain minimum with map-side combining, so a path with a third of all pairs costs one row
-per task. All tables between steps are written to the shared folder. Nothing is collected but row counts.
+per task; the joins on a path take hot paths out of the shuffle (``join_unique``). All tables between steps are written to the shared folder. Nothing is collected but row counts.
 
 Pairs with a null or empty end are no link; a pair within one path, repeated pairs and either direction
 are harmless: a path linked only with itself forms a group of one.
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folium.runtime import Stage, is_empty
+from folium.runtime import Stage, is_empty, join_unique
 
 
 def _collapse(stage: Stage, parents: DataFrame) -> DataFrame:
@@ -26,11 +26,13 @@ def _collapse(stage: Stage, parents: DataFrame) -> DataFrame:
     held = current = stage.put(parents)
     while True:
         up = current.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
-        step = current.join(up, "parent", "left").select("node", "parent", F.coalesce("above", "parent").alias("root"))
+        step = join_unique(current, up, "parent", "left").select("node", "parent", F.coalesce("above", "parent").alias("root"))
         step = stage.put(step)
         stage.drop(held)
         if is_empty(step.where("root <> parent")):
-            return step.select("node", "root")
+            out = step.select("node", "root")
+            out._folium_path = step._folium_path  # so that it can be dropped
+            return out
         held, current = step, step.select("node", F.col("root").alias("parent"))
 
 
@@ -51,19 +53,20 @@ def link_groups(links: DataFrame, a: str, b: str) -> DataFrame:
             chosen.select("node", F.when(F.col("e.u") == F.col("node"), F.col("e.v")).otherwise(F.col("e.u")).alias("parent"))
         )
         back = hooks.select(F.col("node").alias("parent"), F.col("parent").alias("back"))
-        rooted = hooks.join(back, "parent").select(
+        rooted = join_unique(hooks, back, "parent").select(
             "node", F.when((F.col("back") == F.col("node")) & (F.col("node") < F.col("parent")), F.col("node")).otherwise(F.col("parent")).alias("parent")
         )
         roots = _collapse(stage, rooted)
         stage.drop(hooks)
         ru = roots.select(F.col("node").alias("u"), F.col("root").alias("ru"))
         rv = roots.select(F.col("node").alias("v"), F.col("root").alias("rv"))
-        moved = edges.join(ru, "u").join(rv, "v").where("ru <> rv")
+        half = stage.put(join_unique(edges, ru, "u").select("ru", "v"))
+        moved = join_unique(half, rv, "v").where("ru <> rv")
         nxt = stage.put(moved.select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).distinct())
-        renamed = labels.join(roots.select(F.col("node").alias("label"), "root"), "label", "left")
+        renamed = join_unique(labels, roots.select(F.col("node").alias("label"), "root"), "label", "left")
         new_labels = stage.put(renamed.select("node", F.coalesce("root", "label").alias("label")))
-        for old in (edges, labels):
+        for old in (edges, labels, half, roots):
             stage.drop(old)
         edges, labels = nxt, new_labels
     smallest = labels.groupBy("label").agg(F.min("node").alias("group"))
-    return labels.join(smallest, "label").select("node", "group")
+    return join_unique(labels, smallest, "label").select("node", "group")

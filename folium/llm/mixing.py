@@ -9,23 +9,26 @@ source's block, and so every stretch of the mixture holds the sources in proport
 
 Documents without a source, of a source without a target, or without tokens are not selected. Sources
 are compared after trimming and lower-casing. A source with a target and no documents gets share 0.
+The list of targets is read to the driver (one row per source), whatever its length; a slot finds its source
+by binary search.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folium.operators.prefix import running_sum
+from folium.runtime import join_bounded
 
 #: Tokens of a block, the unit that the schedule places.
 BLOCK_TOKENS = 2048
 #: Documents (or slots) of one bucket of the running sums, on average.
 BUCKET_ROWS = 20_000
-#: Targets read to the driver at most; the schedule's source list must stay small.
-MAX_SOURCES = 10_000
 
 GOLDEN = 0.6180339887498949
 
@@ -74,15 +77,14 @@ def mix(
     spark = docs.sparkSession
     goal = targets.select(source_name(F.col("source")).alias("source"), "target_share", "max_repeats").where("source is not null")
     wanted = goal.groupBy("source").agg(F.sum("target_share").alias("share"), F.max("max_repeats").alias("cap"))
-    rows = wanted.orderBy("source").limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} target sources")
+    rows = wanted.orderBy("source").collect()
     shares = {r["source"]: float(r["share"] or 0) for r in rows}
     caps = {r["source"]: int(r["cap"] or 0) for r in rows}
     items = (
         docs.select(docs[key].alias("key"), source_name(docs[source]).alias("source"), docs[n_tokens].cast("long").alias("n_tokens"))
-        .where(F.col("source").isin(list(shares)) & (F.col("n_tokens") > 0) & F.col("key").isNotNull())
+        .where((F.col("n_tokens") > 0) & F.col("key").isNotNull())
     )
+    items = join_bounded(items, wanted.select("source"), ["source"], "inner", salt=8)
     per = {r["source"]: (int(r["tokens"]), int(r["n"])) for r in items.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n")).collect()}
     sizes = {s: v[0] for s, v in per.items()}
     total = float(total_tokens if total_tokens is not None else sum(sizes.values()))
@@ -98,7 +100,7 @@ def mix(
     )
     # every repetition lays the documents end to end in an order of its own
     buckets = max(1, math.ceil(max(v[1] for v in per.values()) / BUCKET_ROWS))
-    laid = items.join(F.broadcast(blocks), "source").withColumn("repetition", F.explode(F.sequence(F.lit(0), F.col("repeats") - 1)))
+    laid = join_bounded(items, blocks, ["source"], "inner", salt=8).withColumn("repetition", F.explode(F.sequence(F.lit(0), F.col("repeats") - 1)))
     laid = laid.withColumn("_h", F.xxhash64("key", "repetition", F.lit(seed)))
     laid = laid.withColumn("_bucket", F.floor((F.col("_h").cast("double") / 2.0**64 + 0.5) * buckets).cast("int"))
     laid = running_sum(laid, ["source", "repetition"], "_bucket", ["_h", "key"], "n_tokens", "_before")
@@ -106,15 +108,16 @@ def mix(
 
     # slots: a golden-ratio point per slot, mapped through the cumulative weights
     n_slots = max(1, math.ceil(mass / block_tokens))
-    low, bounds = 0.0, []
-    for s, g, *_ in plan:
-        bounds.append((s, low, low + g / mass))
-        low += g / mass
-    pick = F.lit(bounds[-1][0])
-    point = F.pmod((F.col("slot") + 1).cast("double") * GOLDEN, F.lit(1.0))
-    for s, _, high in reversed(bounds[:-1]):
-        pick = F.when(point < high, F.lit(s)).otherwise(pick)
-    slots = spark.range(n_slots).withColumnRenamed("id", "slot").withColumn("source", pick)
+    known = spark.sparkContext.broadcast(([s for s, *_ in plan], np.cumsum([g / mass for _, g, *_ in plan])[:-1]))
+
+    def pick(batches):
+        names, bounds = known.value
+        names = pa.array(names, pa.string())
+        for b in batches:
+            point = ((b.column(0).to_numpy() + 1) * GOLDEN) % 1.0
+            yield pa.RecordBatch.from_arrays([b.column(0), names.take(pa.array(np.searchsorted(bounds, point, "right")))], names=["slot", "source"])
+
+    slots = spark.range(n_slots).withColumnRenamed("id", "slot").mapInArrow(pick, "slot long, source string")
     slots = slots.withColumn("_bucket", F.floor(F.col("slot") / BUCKET_ROWS).cast("int")).withColumn("_one", F.lit(1))
     slots = running_sum(slots, ["source"], "_bucket", ["slot"], "_one", "block").select("slot", "source", "block")
 

@@ -97,11 +97,17 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     slim = stage.put(rows.where("doc_id is not null").groupBy("doc_id", "s").agg(F.min("id").alias("id")))
     keyed = slim.withColumn("id", F.coalesce("id", "doc_id"))
     parts = F.split("doc_id", "/")
-    named = keyed.join(_page_components(keyed), F.col("id") == F.col("record"))
-    named = named.where(F.size(parts) >= 4).select(
-        "component", parts[1].alias("project"), F.array_join(F.slice(parts, 4, F.size(parts) - 3), "/").alias("page_path"), "s"
-    )
-    return named.groupBy("component", "project", "page_path").agg(F.count_distinct("s").alias("n")).where("n > 1").select("project", "page_path")
+    named = stage.put(keyed.join(_page_components(keyed), F.col("id") == F.col("record")).select("doc_id", "s", "component"))
+    leaking = named.groupBy("component").agg(F.count_distinct("s").alias("n")).where("n > 1").select("component")
+    pages = named.where(F.size(parts) >= 4).select("component", parts[1].alias("project"), F.array_join(F.slice(parts, 4, F.size(parts) - 3), "/").alias("page_path")).distinct()
+    return pages.join(leaking, "component").select("project", "page_path").distinct()
+
+
+@query("p4_shares")
+def p4_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and reached share of the chunks in every split."""
+    rows = table(spark, d, "corpus_row").select("id", "doc_id")
+    return entity_splits.reached_shares(entity_splits.assign(_page_components(rows), SHARES), SHARES)
 
 
 @query("p4_assigned")
@@ -170,7 +176,8 @@ def _sized(spark: SparkSession, d: str) -> DataFrame:
 @query("p8_found", f"SELECT DISTINCT doc_id FROM documents WHERE {T_SQL.format('text')} > 2048")
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     packed = binpack.pack(_sized(spark, d), "doc_id", "n_tokens", 2048, "source", "cluster")
-    return packed.where("n_pieces > 1").select(F.col("key").alias("doc_id")).distinct()
+    per = packed.groupBy("key").agg(F.count_distinct("container").alias("n"), F.max("n_pieces").alias("pieces"))
+    return per.where("n > 1 and n = pieces").select(F.col("key").alias("doc_id"))  # no container holds it whole
 
 
 @query("p8_containers")

@@ -27,17 +27,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folium.functions.codepoints import Points, from_arrow, slices, to_arrow
-from folium.runtime import Stage
+from folium.runtime import Stage, join_unique
 
 # Letters of other scripts that are drawn like a Latin letter.
-CYRILLIC_LIKE_LATIN = "АA ВB ЕE ЅS ІI ЈJ КK МM НH ОO РP СC ТT УY ХX аa еe ѕs іi јj оo рp сc уy хx һh ԁd ԛq ԝw"
-GREEK_LIKE_LATIN = "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX οo"
+CYRILLIC_LIKE_LATIN = "АA ВB ЕE ЅS ІI ЈJ КK МM НH ОO РP СC ТT УY ХX аa еe ѕs іi јj оo рp сc уy хx һh ԁd ԛq ԝw ѵv ӏl ӀI ԚQ ԜW ԌG"
+GREEK_LIKE_LATIN = "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX οo νv ρp υu ιi αa ϲc ϳj ϹC ͿJ"
+ARMENIAN_LIKE_LATIN = "օo ոn սu հh ցg զq ՕO ՍU ՏS"
+CHEROKEE_LIKE_LATIN = "ᎪA ᏴB ᏟC ᎠD ᎬE ᏀG ᎻH ᎫJ ᏦK ᏞL ᎷM ᏢP ᎡR ᏚS ᎢT ᏙV ᎳW ᏃZ"
+# Other characters drawn like a plain one.
+PLAIN_LIKE = "ıi ɡg ɑa −- ʼ'"
 # Characters that take no visible room.
 INVISIBLE = [0x00AD, 0x034F, 0x061C, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2070), 0xFEFF, *range(0xFE00, 0xFE10)]
 # Compatibility kinds whose characters look like their plain spelling.
 SAME_LOOK = ("<wide>", "<narrow>", "<compat>", "<font>", "<noBreak>")
 
-CYRILLIC, GREEK, LATIN = 1, 2, 4
+CYRILLIC, GREEK, LATIN, ARMENIAN, CHEROKEE = 1, 2, 4, 8, 16
+SCRIPT_NAMES = {"CYRILLIC": CYRILLIC, "GREEK": GREEK, "LATIN": LATIN, "ARMENIAN": ARMENIAN, "CHEROKEE": CHEROKEE}
+LIKE_LATIN = {CYRILLIC: CYRILLIC_LIKE_LATIN, GREEK: GREEK_LIKE_LATIN, ARMENIAN: ARMENIAN_LIKE_LATIN, CHEROKEE: CHEROKEE_LIKE_LATIN}
 
 
 def _spell(cp: int) -> str:
@@ -68,7 +74,8 @@ class Tables:
 @lru_cache(maxsize=1)
 def tables() -> Tables:
     size = 0x110000
-    like = {p[0]: p[1] for p in (CYRILLIC_LIKE_LATIN + " " + GREEK_LIKE_LATIN).split()}
+    by_script = {p[0]: p[1] for pairs in LIKE_LATIN.values() for p in pairs.split()}
+    like = by_script | {p[0]: p[1] for p in PLAIN_LIKE.split()}
     gone = set(INVISIBLE)
     length = np.ones(size, np.int64)
     special: dict[int, list[int]] = {}
@@ -86,8 +93,7 @@ def tables() -> Tables:
         if cat[0] == "L" or cat[0] == "M":
             letter[cp] = True
             ccc[cp] = unicodedata.combining(ch)
-            name = unicodedata.name(ch, "")
-            script[cp] = CYRILLIC if name.startswith("CYRILLIC") else GREEK if name.startswith("GREEK") else LATIN if name.startswith("LATIN") else 0
+            script[cp] = SCRIPT_NAMES.get(unicodedata.name(ch, "").split(" ")[0], 0)
         if cp in gone:
             special[cp] = []
         elif cat == "Zs":
@@ -102,7 +108,7 @@ def tables() -> Tables:
         if d and d[0] != "<" and " " in d and unicodedata.normalize("NFC", ch) == ch:
             a, b = (int(x, 16) for x in d.split())
             pairs[(a << 21) | b] = cp
-    for latin in like.values():
+    for latin in by_script.values():
         script[ord(latin)] = 0
     pool = np.arange(size, dtype=np.uint32)
     extra = np.array([c for v in special.values() for c in v], np.uint32)
@@ -112,9 +118,9 @@ def tables() -> Tables:
         offset[cp], length[cp] = at, len(v)
         at += len(v)
     back = {}
-    for which, table in ((CYRILLIC, CYRILLIC_LIKE_LATIN), (GREEK, GREEK_LIKE_LATIN)):
+    for which, table in LIKE_LATIN.items():
         m = np.arange(size, dtype=np.uint32)
-        for p in table.split():
+        for p in reversed(table.split()):  # of two letters like one the first in the list is given back
             m[ord(p[1])] = ord(p[0])
         back[which] = m
     key = np.array(sorted(pairs), np.int64)
@@ -143,15 +149,18 @@ def _restore_scripts(p: Points, t: Tables) -> np.ndarray:
     has = np.bitwise_or.reduceat(kind, start)
     row = np.searchsorted(p.off, start, "right") - 1
     n = len(p.off) - 1
-    votes = {s: np.bincount(row, weights=has == s, minlength=n) for s in (CYRILLIC, GREEK, LATIN)}
+    votes = {s: np.bincount(row, weights=has == s, minlength=n) for s in SCRIPT_NAMES.values() if s == LATIN or (has & s).any()}
     word_script = has.copy()
     open_words = has == 0
-    for s in (CYRILLIC, GREEK):
-        wins = (votes[s] > votes[LATIN]) & (votes[s] >= votes[CYRILLIC + GREEK - s])
+    others = [s for s in votes if s != LATIN]
+    for s in others:
+        wins = votes[s] > votes[LATIN]
+        for o in others:
+            wins &= votes[s] >= votes[o]
         word_script[open_words & wins[row]] = s
     word = np.cumsum(is_letter & ~before) - 1
     out = cps.copy()
-    for s in (CYRILLIC, GREEK):
+    for s in others:
         if (word_script == s).any():
             pick = is_letter & (word >= 0)
             pick[pick] = word_script[word[pick]] == s
@@ -227,6 +236,23 @@ def with_canonical_text(df: DataFrame, text: str = "text", out: str = "canonical
     return df.mapInArrow(run, schema)
 
 
+def lookalike_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, form, spelling, n_spellings``: the class of texts that look like the row's, its own spelling, and the class's spellings.
+
+    The compact form of ``lookalike_pairs``: one row per key and text, whatever the size of a class. Null keys or texts belong to none.
+    """
+    members = _members(df, key, text)
+    classes = members.select("form", "raw").distinct().groupBy("form").agg(F.count("*").alias("n_spellings"))
+    return join_unique(members, classes, "form").select(F.col("k").alias("key"), "form", F.col("raw").alias("spelling"), "n_spellings")
+
+
+def _members(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Written distinct ``k, raw, form``: a key, and digests of its text and of the text's form."""
+    rows = df.select(df[key].alias("k"), df[text].alias("t")).where("k is not null and t is not null")
+    forms = with_canonical_text(rows, "t", "c").select("k", F.md5("t").alias("raw"), F.md5("c").alias("form"))
+    return Stage(df.sparkSession, "lookalike").put(forms.distinct())
+
+
 def lookalike_pairs(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Pairs (``a`` < ``b``) of keys whose texts look the same and differ in their characters.
 
@@ -234,9 +260,7 @@ def lookalike_pairs(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     and only then expanded to their keys, so copies of one text are never compared with each other.
     Repeated rows count once; null keys or texts belong to no pair.
     """
-    rows = df.select(df[key].alias("k"), df[text].alias("t")).where("k is not null and t is not null")
-    forms = with_canonical_text(rows, "t", "c").select("k", F.md5("t").alias("raw"), F.md5("c").alias("form"))
-    members = Stage(df.sparkSession, "lookalike").put(forms.distinct())
+    members = _members(df, key, text)
     classes = members.select("form", "raw").distinct()
     pairs = (
         classes.alias("x")

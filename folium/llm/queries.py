@@ -218,6 +218,12 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
 
 
+@query("p10_classes")
+def p10_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with its class of texts that look the same: the pairs in compact form."""
+    return lookalike.lookalike_classes(table(spark, d, "documents")).withColumnRenamed("key", "doc_id")
+
+
 @query("p10_texts")
 def p10_texts(spark: SparkSession, d: str) -> DataFrame:
     """Every document with its consistent form."""

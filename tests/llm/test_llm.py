@@ -504,11 +504,13 @@ def test_lookalike_forms(spark):
         ["ёлка й", "е\u0308лка и\u0306"],
         ["ΟΡΟΣ Ωμέγα", "OPOΣ Ωμέγα"],
         ["a\u0323\u0302b", "a\u0302\u0323b", "ậb"],
+        ["vpui fog", "νρυι fog", "vpuı fоɡ", "vpսi fօg"],
+        ["Ready - it's", "Ꭱeady − itʼs"],
     ]
     forms = [lookalike.canonical(pa.array(g)).to_pylist() for g in same]
     assert all(len(set(f)) == 1 for f in forms) and len({f[0] for f in forms}) == len(same)
-    assert forms[0][0] == "café fin" and forms[1][0] == "Москва и село" and forms[2][0] == "ёлка й" and forms[4][0] == "ậb"
-    for text in ["El niño comió ñandú, acción: 12 %.", "Привет, мир! Это село.", "日本語 テキスト 한국어", "a\tb\nc", ""]:
+    assert forms[0][0] == "café fin" and forms[1][0] == "Москва и село" and forms[2][0] == "ёлка й" and forms[4][0] == "ậb" and forms[5][0] == "vpui fog"
+    for text in ["El niño comió ñandú, acción: 12 %.", "Привет, мир! Это село.", "日本語 テキスト 한국어", "Οι τιμές του έργου και της υπηρεσίας", "Հայերեն սեր ու ոսկի", "a\tb\nc", ""]:
         assert lookalike.canonical(pa.array([text])).to_pylist() == [text]
     assert lookalike.canonical(pa.array([None, "x"])).to_pylist() == [None, "x"]
     rng = random.Random(2)
@@ -522,4 +524,6 @@ def test_lookalike_pairs(spark):
     got = {(r["a"], r["b"]) for r in lookalike.lookalike_pairs(df).collect()}
     assert got == {(1, 2), (2, 3), (1, 6), (3, 6), (2, 6), (8, 9)}
     assert lookalike.lookalike_pairs(df.limit(0)).count() == 0
+    classes = {(r["key"], r["n_spellings"]) for r in lookalike.lookalike_classes(df).collect()}
+    assert classes == {(1, 3), (2, 3), (3, 3), (6, 3), (4, 1), (5, 1), (8, 2), (9, 2)}
     assert lookalike.with_canonical_text(df.select("doc_id", "text")).where("doc_id = 6").first()["canonical_text"] == "casa"

@@ -1,21 +1,23 @@
 """Near-duplicate records with small edits, insertions or reordering.
 
-Method: anchor-point covering. The fingerprint of a text is a row of words of four min-hash symbols over
-its shingles. The anchors of a word space are the code words of the [4, 3] parity code over GF(p): every
-word lies within covering radius 1 of the code, and for each of its four positions there is one anchor
-that keeps the other three symbols. A fingerprint is replicated to all anchors within the radius. Two
-words at distance at most 1 (the threshold) keep three common symbols and so meet at one anchor; for this
+Method: anchor-point covering. The fingerprint of a text is a row of words of w min-hash symbols over
+its shingles. The anchors of a word space are the code words of the [w, w - 1] parity code over GF(p): every
+word lies within covering radius 1 of the code, and for each of its w positions there is one anchor
+that keeps the other symbols. A fingerprint is replicated to all anchors within the radius. Two
+words at distance at most 1 (the threshold) keep w - 1 common symbols and so meet at one anchor; for this
 code the ball of the radius alone suffices, the wider ball of radius plus threshold of the general
-scheme is not needed. With ``tables`` words a pair of similarity J is met unless all its words differ in
-two symbols or more: the chance is (1 - J**4 - 4 J**3 (1 - J))**tables, 0.0005 at J = 0.6 and 12 tables,
-0.000003 at 0.7, and far less above.
+scheme is not needed. With t words a pair of similarity J is met unless all its words differ in
+two symbols or more: the chance is (1 - J**w - w J**(w - 1) (1 - J))**t. ``plan`` takes w from the number of
+texts, so that texts with little in common meet seldom at any size, and t so that a pair at the threshold is
+missed with chance ``MISS`` at most whatever w (w = 4 and t = 12 for J = 0.6 and up to ten million texts).
 
 At each anchor fingerprints are compared by 64 further symbols of two bits and by set size; candidates
 are compared by 40 symbols of one byte; what remains is checked exactly on the shingle sets of the texts.
 Both filters keep a pair at the threshold but for a chance below 0.0005.
 
-Texts equal after lower-casing and collapsing blanks form one class; one representative stands for it
-in all comparisons, and the class is expanded only in the result. Anchors with more than ``HOT``
+Texts equal after lower-casing and collapsing blanks are copies and no pair. Copies with the same tokens form one
+class (they differ in tokens where a blank is none to the token rule, such as a no-break space); one
+representative stands for it in all comparisons, and the class is expanded only in the result. Anchors with more than ``HOT``
 fingerprints are compared in a second pass, in blocks spread over tasks, so none is dropped or capped.
 
 Null texts, content types or ids take no part, nor do texts of fewer than ``min_tokens`` tokens.
@@ -35,8 +37,11 @@ from pyspark.sql import functions as F
 from folium.functions.codepoints import Points, from_arrow, mix64, shingle_hashes, slices, tokens
 from folium.runtime import Stage
 
-TABLES = 12
-WORD = 4
+#: Chance to miss a pair at the threshold, at most.
+MISS = 0.0005
+#: Similarity of texts with little in common, and how many such texts each may meet on average.
+BACKGROUND = 0.01
+CHANCE_MEETINGS = 500
 FIELD = 2**31 - 1
 COMPONENTS = 64
 SKETCH = 40
@@ -45,18 +50,30 @@ HOT = 2048
 #: Rows of one partition of the anchor shuffle, on average.
 ANCHOR_ROWS = 1_000_000
 
-_MULTIPLIERS = np.random.default_rng(20240517).integers(1, 2**63, COMPONENTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+def plan(n: int, threshold: float) -> tuple[int, int]:
+    """Symbols of a word, and words, for ``n`` texts."""
+    word = 4
+    while True:
+        meets = threshold**word + word * threshold ** (word - 1) * (1 - threshold)
+        tables = 1 if meets >= 1 else math.ceil(math.log(MISS) / math.log1p(-meets))
+        if n * tables * word * BACKGROUND ** (word - 1) <= CHANCE_MEETINGS:
+            return word, tables
+        word += 1
+
+
+def multipliers(n: int) -> np.ndarray:
+    return np.random.default_rng(20240517).integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def normal_text(text: str) -> str:
     return " ".join(text.lower().split())
 
 
-def min_hashes(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Min-hash symbols (rows x COMPONENTS, uint32) of the hash runs beginning at ``starts``."""
-    out = np.empty((len(starts), COMPONENTS), np.uint32)
-    for j in range(COMPONENTS):
-        out[:, j] = np.minimum.reduceat(((h * _MULTIPLIERS[j]) >> np.uint64(32)).astype(np.uint32), starts)
+def min_hashes(h: np.ndarray, starts: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """Min-hash symbols (rows x factors, uint32) of the hash runs beginning at ``starts``."""
+    out = np.empty((len(starts), len(factors)), np.uint32)
+    for j, factor in enumerate(factors):
+        out[:, j] = np.minimum.reduceat(((h * factor) >> np.uint64(32)).astype(np.uint32), starts)
     return out
 
 
@@ -67,11 +84,12 @@ def distinct_counts(h: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     return np.bincount((key[new] >> np.uint64(40)).astype(np.int64), minlength=n)
 
 
-def _signature(batch: pa.RecordBatch, shingle: int, min_tokens: int) -> pa.RecordBatch | None:
+def _signature(batch: pa.RecordBatch, shingle: int, min_tokens: int, symbols: int, factors: np.ndarray) -> pa.RecordBatch | None:
     ids, kinds, texts = (batch.column(i).to_pylist() for i in range(3))
-    classes, first, of = {}, [], []
+    classes, first, of, copies = {}, [], [], []
     for i, (kind, text) in enumerate(zip(kinds, texts)):
-        key = class_id(kind, text)
+        key, copy = class_ids(kind, text)
+        copies.append(copy)
         if key not in classes:
             classes[key] = len(first)
             first.append(i)
@@ -87,15 +105,15 @@ def _signature(batch: pa.RecordBatch, shingle: int, min_tokens: int) -> pa.Recor
     if not ok.any():
         return None
     starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
-    mh = np.zeros((len(first), COMPONENTS), np.uint32)
+    mh = np.zeros((len(first), len(factors)), np.uint32)
     has = counts > 0
-    mh[has] = min_hashes(h, starts[has])
+    mh[has] = min_hashes(h, starts[has], factors)
     size = np.floor(np.log(np.maximum(distinct_counts(h, row, len(first)), 1)) / math.log(1.05)).astype(np.int32)
-    two = ((mh >> 7) & 3).astype(np.uint64)
+    two = ((mh[:, :COMPONENTS] >> 7) & 3).astype(np.uint64)
     shift = (np.arange(32, dtype=np.uint64) * np.uint64(2))[None, :]
     f0 = np.bitwise_or.reduce(two[:, :32] << shift, axis=1).view(np.int64)
     f1 = np.bitwise_or.reduce(two[:, 32:] << shift, axis=1).view(np.int64)
-    words = np.ascontiguousarray(mh[:, : TABLES * WORD])
+    words = np.ascontiguousarray(mh[:, :symbols])
     sketch = np.ascontiguousarray((mh[:, :SKETCH] >> 12).astype(np.uint8))
     of = np.array(of)
     keep = np.flatnonzero(ok[of])
@@ -106,40 +124,43 @@ def _signature(batch: pa.RecordBatch, shingle: int, min_tokens: int) -> pa.Recor
     kh = np.array([kind_hash[k] for k in kinds], np.int64)[keep]
     binary = lambda m: pa.array([x.tobytes() for x in m], pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array(cid[pick]), batch.column(0).take(pa.array(keep)), pa.array(kh), pa.array(size[pick]), pa.array(f0[pick]), pa.array(f1[pick]), binary(words[pick]), binary(sketch[pick])],
-        names=["cid", "id", "kh", "size", "f0", "f1", "words", "sketch"],
+        [pa.array(cid[pick]), pa.array(np.array(copies, np.int64)[keep]), batch.column(0).take(pa.array(keep)), pa.array(kh), pa.array(size[pick]), pa.array(f0[pick]), pa.array(f1[pick]), binary(words[pick]), binary(sketch[pick])],
+        names=["cid", "copy", "id", "kh", "size", "f0", "f1", "words", "sketch"],
     )
 
 
-def anchors_of(words: np.ndarray) -> np.ndarray:
-    """Identifiers (rows x TABLES * WORD, uint64) of all anchors within radius 1 of each word."""
+def anchors_of(words: np.ndarray, word: int) -> np.ndarray:
+    """Identifiers (rows x symbols, uint64) of all anchors within radius 1 of each word of ``word`` symbols."""
     n = len(words)
-    w = words.reshape(n, -1, WORD).astype(np.int64) % FIELD
+    w = words.reshape(n, -1, word).astype(np.int64) % FIELD
     total = w.sum(axis=2, keepdims=True)
-    out = np.empty((n, w.shape[1], WORD), np.uint64)
+    out = np.empty((n, w.shape[1], word), np.uint64)
     table = (np.arange(w.shape[1], dtype=np.uint64) + np.uint64(1))[None, :]
-    for i in range(WORD):
+    for i in range(word):
         c = w.copy()
-        c[:, :, i] = (w[:, :, i] - total[:, :, 0]) % FIELD  # the parity symbol of the other three
+        c[:, :, i] = (w[:, :, i] - total[:, :, 0]) % FIELD  # the parity symbol of the others
         key = np.broadcast_to(mix64(table), (n, w.shape[1]))
-        for q in range(WORD):
+        for q in range(word):
             key = mix64(key + c[:, :, q].astype(np.uint64))
         out[:, :, i] = key
     return out.reshape(n, -1)
 
 
-def _spread(batches):
-    for b in batches:
-        n = b.num_rows
-        if not n:
-            continue
-        words = np.frombuffer(b"".join(b.column("words").to_pylist()), np.uint32).reshape(n, -1)
-        kinds = b.column("kh").to_numpy(zero_copy_only=False).view(np.uint64)
-        a = mix64(anchors_of(words) + kinds[:, None])  # texts of different kinds never meet
-        rep = a.shape[1]
-        col = lambda name: np.repeat(b.column(name).to_numpy(zero_copy_only=False), rep)
-        arrays = [a.ravel().view(np.int64), col("cid"), col("size"), col("f0"), col("f1")]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["anchor", "cid", "size", "f0", "f1"])
+def _spread(word: int):
+    def run(batches):
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            words = np.frombuffer(b"".join(b.column("words").to_pylist()), np.uint32).reshape(n, -1)
+            kinds = b.column("kh").to_numpy(zero_copy_only=False).view(np.uint64)
+            a = mix64(anchors_of(words, word) + kinds[:, None])  # texts of different kinds never meet
+            rep = a.shape[1]
+            col = lambda name: np.repeat(b.column(name).to_numpy(zero_copy_only=False), rep)  # noqa: E731, B023
+            arrays = [a.ravel().view(np.int64), col("cid"), col("size"), col("f0"), col("f1")]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["anchor", "cid", "size", "f0", "f1"])
+
+    return run
 
 
 _LOW = np.uint64(0x5555555555555555)
@@ -282,16 +303,21 @@ def _similar_sketches(least: float):
     return run
 
 
-def class_id(kind: str, text: str) -> int:
-    """64 bits of the class of equal texts."""
-    return int.from_bytes(hashlib.md5(f"{kind}\0{normal_text(text)}".encode()).digest()[:8], "little", signed=True)
+def class_ids(kind: str, text: str) -> tuple[int, int]:
+    """64 bits of the class of texts with equal tokens, and of the copies it belongs to; the same where no unusual blank occurs."""
+    low = text.lower()
+    copy = " ".join(low.split())
+    spaced = " ".join(x for x in low.replace("\t", " ").replace("\r", " ").replace("\n", " ").split(" ") if x)
+    of = lambda t: int.from_bytes(hashlib.md5(f"{kind}\0{t}".encode()).digest()[:8], "little", signed=True)
+    c = of(copy)
+    return (c if spaced == copy else of(f"{spaced}\0")), c
 
 
 def _shingle_sets(shingle: int):
     def run(batches):
         for b in (x for whole in batches for x in slices(whole, 2)):
             cids, kinds, texts = (b.column(c).to_pylist() for c in ("cid", "kind", "text"))
-            own = [i for i, c in enumerate(cids) if class_id(kinds[i], texts[i]) == c]  # an id may hold several texts
+            own = [i for i, c in enumerate(cids) if class_ids(kinds[i], texts[i])[0] == c]  # an id may hold several texts
             if not own:
                 continue
             p: Points = from_arrow(pa.array([texts[i].lower() for i in own], pa.large_string()))
@@ -337,37 +363,46 @@ class NearDuplicates:
         self.sketch_least = max(0.0, j - 3.9 * math.sqrt(j * (1 - j) / SKETCH))
         self.ratio = math.ceil(-math.log(j) / math.log(1.05)) + 1
 
-        schema = "cid long, id string, kh long, size int, f0 long, f1 long, words binary, sketch binary"
+        self.word, tables = plan(df.count(), threshold)
+        factors = multipliers(max(COMPONENTS, self.word * tables))
+        schema = "cid long, copy long, id string, kh long, size int, f0 long, f1 long, words binary, sketch binary"
 
-        def signatures(batches, shingle=shingle, min_tokens=min_tokens):
+        def signatures(batches, shingle=shingle, min_tokens=min_tokens, symbols=self.word * tables):
             for b in (x for whole in batches for x in slices(whole, 2)):
-                out = _signature(b, shingle, min_tokens)
+                out = _signature(b, shingle, min_tokens, symbols, factors)
                 if out is not None:
                     yield out
 
+        self.anchors = self.word * tables
         self.signed = self.stage.put(self.rows.mapInArrow(signatures, schema))
 
     def members(self) -> DataFrame:
         """``cid, id``: every record and its class of equal texts."""
         return self.signed.select("cid", "id").distinct()
 
+    def copies(self) -> DataFrame:
+        """``a, b``: classes that are copies of one another although their tokens differ."""
+        classes = self.signed.select("cid", "copy").distinct()
+        least = classes.groupBy("copy").agg(F.min("cid").alias("a"), F.count("*").alias("n")).where("n > 1")
+        return classes.join(least, "copy").where("cid <> a").select("a", F.col("cid").alias("b"))
+
     def pairs(self) -> DataFrame:
         """``a, b, similarity`` (a < b): all pairs of classes at or above the threshold."""
         names = ("kh", "size", "f0", "f1", "words")
         reps = self.signed.groupBy("cid").agg(*[F.first(c).alias(c) for c in names])
         n = self.signed.count()
-        spread = reps.mapInArrow(_spread, "anchor long, cid long, size int, f0 long, f1 long")
+        spread = reps.mapInArrow(_spread(self.word), "anchor long, cid long, size int, f0 long, f1 long")
         width = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        width = max(width, math.ceil(n * TABLES * WORD / ANCHOR_ROWS))
+        width = max(width, math.ceil(n * self.anchors / ANCHOR_ROWS))
         met = spread.repartition(width, "anchor").sortWithinPartitions("anchor").mapInArrow(_compare_sorted(self.least, self.ratio), PAIR_SCHEMA)
         met = self.stage.put(met)
         cool = met.where("anchor is null").select("a", "b")
         hot = met.where("anchor is not null").select("anchor", F.col("a").alias("cid"), "size", "f0", "f1")
         candidates = cool if not hot.take(1) else cool.unionByName(_hot_pairs(hot, self.least, self.ratio))
-        sketches = self.signed.groupBy("cid").agg(F.first("sketch").alias("s"), F.min("id").alias("id"))
-        sa = sketches.select(F.col("cid").alias("a"), F.col("s").alias("sa"))
-        sb = sketches.select(F.col("cid").alias("b"), F.col("s").alias("sb"))
-        likely = candidates.distinct().join(sa, "a").join(sb, "b").mapInArrow(_similar_sketches(self.sketch_least), "a long, b long")
+        sketches = self.signed.groupBy("cid").agg(F.first("sketch").alias("s"), F.min("id").alias("id"), F.first("copy").alias("copy"))
+        sa = sketches.select(F.col("cid").alias("a"), F.col("s").alias("sa"), F.col("copy").alias("ca"))
+        sb = sketches.select(F.col("cid").alias("b"), F.col("s").alias("sb"), F.col("copy").alias("cb"))
+        likely = candidates.distinct().join(sa, "a").join(sb, "b").where("ca <> cb").select("a", "b", "sa", "sb").mapInArrow(_similar_sketches(self.sketch_least), "a long, b long")
         likely = self.stage.put(likely)
         # the texts of the representatives that are still in question
         asked = likely.select(F.explode(F.array("a", "b")).alias("cid")).distinct()

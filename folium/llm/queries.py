@@ -148,7 +148,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 def p6_groups(spark: SparkSession, d: str) -> DataFrame:
     """One row per record compared: its class of equal texts, its group, and the class's links to other texts.
 
-    Copies share their class. A class without a link is a group of its own, with 0 links. Repeated rows count once;
+    Copies share their group, and their class where their tokens are the same. A class without a link is a group of its own, with 0 links. Repeated rows count once;
     an id with several texts has a row for each class.
     """
     return near_groups(_near(spark, d))
@@ -157,9 +157,9 @@ def p6_groups(spark: SparkSession, d: str) -> DataFrame:
 def near_groups(near: neardup.NearDuplicates) -> DataFrame:
     """``id, class_id, group_id, n_links`` of every member; the links are joined so that a hot class is spread."""
     pairs = near.stage.put(near.pairs())
-    groups = linkgroups.link_groups(pairs, "a", "b").select(F.col("node").cast("long").alias("cid"), "group")
+    groups = linkgroups.link_groups(pairs.select("a", "b").unionByName(near.copies()), "a", "b").select(F.col("node").cast("long").alias("cid"), "group")
     links = pairs.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("n_links"))
-    out = join_bounded(near.members(), groups.join(links, "cid"), ["cid"], "left", salt=16)
+    out = join_bounded(near.members(), groups.join(links, "cid", "left"), ["cid"], "left", salt=16)
     group, n_links = F.coalesce("group", F.col("cid").cast("string")), F.coalesce("n_links", F.lit(0).cast("long"))
     return out.select("id", F.col("cid").alias("class_id"), group.alias("group_id"), n_links.alias("n_links"))
 

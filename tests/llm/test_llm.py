@@ -314,9 +314,11 @@ def near_table(n, seed=0):
     return rows
 
 
-@pytest.mark.parametrize("hot", [neardup.HOT, 2])
-def test_near_pairs_against_brute_force(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot,word", [(neardup.HOT, 4), (2, 4), (neardup.HOT, 6)])
+def test_near_pairs_against_brute_force(spark, monkeypatch, hot, word):
     monkeypatch.setattr(neardup, "HOT", hot)
+    if word > 4:
+        monkeypatch.setattr(neardup, "BACKGROUND", 0.2)  # as if the table were far larger
     rows = near_table(40)
     df = spark.createDataFrame(rows, "id string, text string, kind string").withColumn("cid", F.lit(1))
     near = neardup.NearDuplicates(df, "id", "text", "kind", shingle=3, threshold=0.6, min_tokens=50)
@@ -331,6 +333,31 @@ def test_near_pairs_against_brute_force(spark, monkeypatch, hot):
     assert len(want) > 20 and got == want
 
 
+def test_copies_with_other_tokens_keep_their_own_shingles(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(300)]
+    base = [rng.choice(words) for _ in range(60)]
+    plain, odd = " ".join(base), "\xa0".join(base)  # a no-break space is a token, so the second has others
+    edited = "\xa0".join([*base[:30], "edit", *base[31:]])
+    df = spark.createDataFrame([("a", plain, "p"), ("b", odd, "p"), ("c", edited, "p")], "id string, text string, kind string")
+    near = neardup.NearDuplicates(df, "id", "text", "kind", shingle=3, threshold=0.6)
+    sets = {i: shingles(t, 3) for i, t in (("a", plain), ("b", odd), ("c", edited))}
+    want = {(x, y) for x, y in (("a", "c"), ("b", "c")) if len(sets[x] & sets[y]) >= 0.6 * len(sets[x] | sets[y])}
+    assert {(r["id_a"], r["id_b"]) for r in near.id_pairs().collect()} == want == {("b", "c")}  # a and b are copies and no pair
+    from folium.llm import queries
+
+    assert len({r["group_id"] for r in queries.near_groups(near).collect()}) == 1
+
+
+def test_words_grow_with_the_table(spark):
+    for n in (10, 10**6, 10**8, 10**10):
+        for j in (0.6, 0.8):
+            word, tables = neardup.plan(n, j)
+            assert (1 - j**word - word * j ** (word - 1) * (1 - j)) ** tables <= neardup.MISS
+            assert n * tables * word * neardup.BACKGROUND ** (word - 1) <= neardup.CHANCE_MEETINGS
+    assert neardup.plan(10**6, 0.6) == (4, 12) and neardup.plan(10**9, 0.6)[0] > 4
+
+
 def test_hot_anchor_stream_is_bounded(monkeypatch):
     import numpy as np
 

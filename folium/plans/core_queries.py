@@ -155,13 +155,54 @@ def _blocks(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.flag_repeated(shaped)
 
 
-@query("pack_chunks")
+#: Both folds one row at a time: ``m_`` gives each section its group, ``f_`` each block its part of the group.
+_GROUPS_SQL = f"""
+    b_ AS (SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY block_id ORDER BY parsed_at DESC) AS rn FROM doc_block WHERE text IS NOT NULL) WHERE rn = 1),
+    n_ AS (SELECT source_path AS doc_id, block_index, content_type, text, char_start, char_end, {_pieces('text')} AS n, count(*) OVER (PARTITION BY {_hash('text')}) > 1 AS repeated,
+             CASE WHEN coalesce(heading, '') IS DISTINCT FROM lag(coalesce(heading, '')) OVER (PARTITION BY source_path ORDER BY block_index) THEN 1 ELSE 0 END AS new_ FROM b_),
+    s_ AS (SELECT *, CAST(sum(new_) OVER (PARTITION BY doc_id ORDER BY block_index) AS INT) AS section_idx FROM n_),
+    t_ AS (SELECT doc_id, section_idx, CAST(sum(n) AS BIGINT) AS n, bool_and(content_type = 'api_spec') AS api, row_number() OVER (PARTITION BY doc_id ORDER BY section_idx) AS rn FROM s_ GROUP BY 1, 2),
+    m_ AS (
+      SELECT DISTINCT doc_id, 0::BIGINT AS rn, 0 AS next_, 0::BIGINT AS waiting, NULL::INT AS section_idx, NULL::INT AS group_idx FROM t_
+      UNION ALL
+      SELECT t.doc_id, t.rn, CASE WHEN closed THEN own + 1 ELSE own END, CASE WHEN closed THEN 0 ELSE size END, t.section_idx, own
+      FROM m_ m JOIN t_ t ON t.doc_id = m.doc_id AND t.rn = m.rn + 1,
+        LATERAL (SELECT CASE WHEN t.api AND m.waiting > 0 THEN m.next_ + 1 ELSE m.next_ END AS own, CASE WHEN t.api THEN t.n ELSE m.waiting + t.n END AS size),
+        LATERAL (SELECT t.api OR size >= 75 AS closed))"""
+_PACK_SQL = f"""{_GROUPS_SQL},
+    g_ AS (SELECT s.*, m.group_idx, row_number() OVER w AS rn, count(*) OVER (PARTITION BY s.doc_id, m.group_idx) AS in_group, max(s.section_idx) OVER (PARTITION BY s.doc_id, m.group_idx) AS path_idx
+           FROM s_ s JOIN m_ m ON m.doc_id = s.doc_id AND m.section_idx = s.section_idx WINDOW w AS (PARTITION BY s.doc_id, m.group_idx ORDER BY s.section_idx, s.block_index)),
+    f_ AS (
+      SELECT DISTINCT doc_id, group_idx, 0::BIGINT AS rn, 0 AS next_, 0::BIGINT AS held, NULL::INT AS part, false AS windowed FROM g_
+      UNION ALL
+      SELECT g.doc_id, g.group_idx, g.rn, CASE WHEN closed THEN own + 1 ELSE own END, CASE WHEN closed THEN 0 ELSE cur END, own, big AND (g.in_group = 1 OR NOT g.repeated)
+      FROM f_ f JOIN g_ g ON g.doc_id = f.doc_id AND g.group_idx = f.group_idx AND g.rn = f.rn + 1,
+        LATERAL (SELECT g.n > 512 AS big, g.repeated OR g.n > 512 AS alone),
+        LATERAL (SELECT f.held > 0 AND (alone OR f.held + g.n > 512) AS flush),
+        LATERAL (SELECT CASE WHEN flush THEN f.next_ + 1 ELSE f.next_ END AS own, CASE WHEN flush THEN 0 ELSE f.held END + g.n AS cur),
+        LATERAL (SELECT alone OR cur >= 300 AS closed)),
+    p_ AS (SELECT g.*, f.part, f.windowed FROM g_ g JOIN f_ f ON f.doc_id = g.doc_id AND f.group_idx = g.group_idx AND f.rn = g.rn),
+    w_ AS (SELECT *, regexp_extract_all(text, '(?:[\\p{{L}}\\p{{N}}_]+|[^{_WS[1:-1]}\\p{{L}}\\p{{N}}_]){_WS}*') AS ps FROM p_ WHERE windowed),
+    x_ AS (SELECT *, unnest(range(0, 1 + greatest(0, CAST(ceil((len(ps) - 512) / 452.0) AS BIGINT)))) AS i FROM w_),
+    c_ AS (
+      SELECT doc_id, group_idx, part, 0::BIGINT AS i, path_idx, string_agg(text, E'\\n\\n' ORDER BY section_idx, block_index) AS text, CAST(sum(n) AS BIGINT) AS n_tokens,
+        arg_max(content_type, (length(text), -section_idx, -block_index)) AS content_type, min(char_start) AS char_start, max(char_end) AS char_end, count(*) AS k FROM p_ WHERE NOT windowed GROUP BY ALL
+      UNION ALL
+      SELECT doc_id, group_idx, part, i, path_idx, trim(array_to_string(ps[i * 452 + 1 : i * 452 + 512], ''), E' \\t\\r\\n'), len(ps[i * 452 + 1 : i * 452 + 512]), content_type, char_start, char_end, NULL FROM x_)"""
+
+
+@query(
+    "pack_chunks",
+    rf"""WITH RECURSIVE {_PACK_SQL}
+    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY group_idx, part, i) - 1 AS chunk_index, count(*) OVER (PARTITION BY doc_id) AS n_chunks_in_doc, path_idx AS section_idx, text, n_tokens,
+      content_type, char_start, char_end, k IS NOT NULL AND (n_tokens < 12 OR (k = 1 AND regexp_matches({_strip('text')}, '(?i)^_?(to\s*do|tbd|todo|pendiente|n/a)_?\.?$'))) AS is_low_signal FROM c_""",
+)
 def pack_chunks(spark: SparkSession, d: str) -> DataFrame:
-    """Chunks packed from the parsed blocks; a stateful fold, tested against a plain loop."""
+    """Chunks packed from the parsed blocks."""
     return packing.chunks(_blocks(spark, d))
 
 
-@query("merged_sections")
+@query("merged_sections", f"WITH RECURSIVE {_GROUPS_SQL} SELECT doc_id, section_idx, group_idx FROM m_ WHERE section_idx IS NOT NULL")
 def merged_sections(spark: SparkSession, d: str) -> DataFrame:
     blocks = _blocks(spark, d)
     sections = blocks.groupBy("doc_id", "section_idx").agg(F.sum("n_tokens").alias("n_tokens"), F.bool_and(F.col("content_type") == "api_spec").alias("api"))
@@ -403,9 +444,64 @@ def chunk_order(spark: SparkSession, d: str) -> DataFrame:
 # ---- questions and answers
 
 
-@query("template_pairs")
+def _template_sql() -> str:
+    """All kinds of template pairs by the line grammar, with their order inside a chunk."""
+    g = {k: v.replace("'", "''") for k, v in questions.LINES.items()}
+
+    def ask(kind: str, **parts: str) -> str:
+        out = "'" + questions.ASK[kind].replace("'", "''") + "'"
+        for name, value in parts.items():
+            out = f"replace({out}, '{{{name}}}', {value})"
+        return out
+
+    def lines(kind: str) -> str:
+        return f"regexp_extract_all(text, '(?m){g[kind]}')"
+
+    def part(kind: str, k: int, of: str = "line") -> str:
+        return f"regexp_extract({of}, '(?m){g[kind]}', {k})"
+
+    words = {r: _LIST(sorted(v)) for r, v in questions.ROLES.items()}
+    at = ", ".join(f"list_filter(range(1, len(h) + 1), lambda i: list_contains({w}, lower(h[i])))[1] AS {r}_at" for r, w in words.items())
+    cell = ", ".join(f"coalesce(r[{r}_at], '') AS {r}_" for r in words)
+    bare = lambda c: f"trim(trim(trim({c}), '`'))"
+    label = ask("label", name=bare("string_split(section_path, ' > ')[-1]"))
+    described = f"trim(trim({part('property', 2)} || '. ' || {part('property', 4)}, '.'))"
+    return f"""
+    WITH t AS (SELECT id, text, content_type, coalesce(section_path, '') AS section_path, contains(text, 'Endpoint:') AS op FROM {_ROWS_SQL} WHERE text IS NOT NULL),
+    o AS (SELECT id, text, {part('endpoint', 1, 'text')} || ' ' || {part('endpoint', 2, 'text')} AS endpoint FROM t WHERE content_type = 'api_spec' AND op AND regexp_matches(text, '(?m){g['endpoint']}')),
+    s AS (SELECT id, text, trim({part('schema', 1, 'text')}) AS schema_ FROM t WHERE content_type = 'api_spec' AND NOT op AND contains(text, 'Schema:') AND regexp_matches(text, '(?m){g['schema']}')),
+    pl AS (SELECT *, first_value(line) OVER (PARTITION BY id, {part('parameter', 1)} ORDER BY k) AS proof FROM (SELECT id, endpoint, unnest({lines('parameter')}) AS line, generate_subscripts({lines('parameter')}, 1) AS k FROM o)),
+    rl AS (SELECT *, first_value(line) OVER (PARTITION BY id, {part('response', 1)} ORDER BY k) AS proof FROM (SELECT id, endpoint, unnest({lines('response')}) AS line, generate_subscripts({lines('response')}, 1) AS k FROM o)),
+    yl AS (SELECT *, first_value(line) OVER (PARTITION BY id, {part('property', 1)} ORDER BY k) AS proof FROM (SELECT id, schema_, unnest({lines('property')}) AS line, generate_subscripts({lines('property')}, 1) AS k FROM s)),
+    ls AS (SELECT id, text, section_path, list_transform(list_filter(string_split(text, chr(10)), lambda x: starts_with(trim(x), '|')), lambda x: list_transform(string_split(trim(trim(x), '|'), '|'), lambda y: trim(y))) AS cells
+           FROM t WHERE content_type = 'table'),
+    rs AS (SELECT id, text, section_path, cells[1] AS h, unnest(cells[3:]) AS r, generate_subscripts(cells[3:], 1) AS k FROM ls WHERE len(cells) >= 2),
+    hs AS (SELECT *, {label} AS label, {at},
+             CASE WHEN contains(text, '| ' || array_to_string(r, ' | ') || ' |') THEN '| ' || array_to_string(r, ' | ') || ' |'
+                  ELSE list_filter(string_split(text, chr(10)), lambda l: len(list_filter(r, lambda c: c <> '' AND NOT contains(l, c))) = 0)[1] END AS proof FROM rs WHERE len(r) = len(h)),
+    cs AS (SELECT *, {cell} FROM hs WHERE proof IS NOT NULL),
+    es AS (SELECT *, array_to_string(list_filter(list_transform(range(1, len(h) + 1), lambda i: CASE WHEN r[i] <> '' AND i <> id_at THEN h[i] || ': ' || r[i] END), lambda x: x IS NOT NULL), '; ') AS rest FROM cs),
+    every_ AS (
+      SELECT id, 0 AS a, 0 AS k, 0 AS b, {ask('summary', endpoint='endpoint')} AS question, trim({part('summary', 1, 'text')}) AS answer, {part('summary', 0, 'text')} AS evidence_span, 'extractive' AS answer_type,
+        'openapi_operation_summary' AS generation_detail FROM o WHERE regexp_matches(text, '(?m){g['summary']}')
+      UNION ALL SELECT id, 1, k, 0, {ask('parameter', name=part('parameter', 1), place=part('parameter', 2), endpoint='endpoint')},
+        trim({part('parameter', 3)} || ' (' || CASE WHEN {part('parameter', 5)} <> '' THEN 'requerido' ELSE 'opcional' END || '). ' || {part('parameter', 6)}), proof, 'extractive', 'openapi_operation_parameter_type' FROM pl
+      UNION ALL SELECT id, 1, k, 1, {ask('parameter_enum', name=part('parameter', 1), endpoint='endpoint')}, {part('parameter', 4)}, proof, 'enum', 'openapi_operation_parameter_enum' FROM pl WHERE {part('parameter', 4)} <> ''
+      UNION ALL SELECT id, 2, k, 0, {ask('response', status=part('response', 1), endpoint='endpoint')}, trim({part('response', 2)}), proof, 'extractive', 'openapi_operation_response' FROM rl
+      UNION ALL SELECT id, 0, 0, 0, {ask('schema', schema='schema_')}, trim({part('type', 1, 'text')}), {part('type', 0, 'text')}, 'extractive', 'openapi_schema_type' FROM s WHERE regexp_matches(text, '(?m){g['type']}')
+      UNION ALL SELECT id, 1, k, 0, {ask('property', name=part('property', 1), schema='schema_')}, {described} || CASE WHEN {part('property', 4)} <> '' THEN '.' ELSE '' END, proof, 'extractive', 'openapi_schema_property_type' FROM yl
+      UNION ALL SELECT id, 1, k, 1, {ask('property_enum', name=part('property', 1), schema='schema_')}, {part('property', 3)}, proof, 'enum', 'openapi_schema_property_enum' FROM yl WHERE {part('property', 3)} <> ''
+      UNION ALL SELECT id, 0, k, 0, CASE WHEN id_ <> '' AND type_ <> '' THEN {ask('field', name=bare('id_'), label='label')} WHEN code_ <> '' AND description_ <> '' THEN {ask('code', name=bare('code_'), label='label')}
+          ELSE {ask('row', label='label', name=bare('id_'))} END,
+        CASE WHEN id_ <> '' AND type_ <> '' THEN type_ || CASE WHEN description_ <> '' THEN ' (' || description_ || ')' ELSE '' END WHEN code_ <> '' AND description_ <> '' THEN description_ ELSE rest END, proof, 'extractive',
+        CASE WHEN id_ <> '' AND type_ <> '' THEN 'table_field_type' WHEN code_ <> '' AND description_ <> '' THEN 'table_code_description' ELSE 'table_generic_row' END
+        FROM es WHERE (id_ <> '' AND type_ <> '') OR (code_ <> '' AND description_ <> '') OR (id_at IS NOT NULL AND rest <> ''))
+    SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY a, k, b) - 1 AS INT) AS ordinal, question, answer, evidence_span, answer_type, generation_detail FROM every_"""
+
+
+@query("template_pairs", _template_sql())
 def template_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Template questions of all API and table chunks; the line grammar is tested on fixtures."""
+    """Template questions of all API and table chunks."""
     return questions.with_template_pairs(_rows(spark, d, "text", "content_type", "section_path").where("text is not null"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from folium.functions.tokens import token_count
 from folium.llm import binpack, entity_splits, linkgroups, lookalike, markup, mixing, neardup, qa_defects, split_items, standins
-from folium.runtime import Stage, join_bounded, table
+from folium.runtime import Stage, join_bounded, join_unique, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,6 +68,22 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split_items.split_items(table(spark, d, "corpus_row"), "id", "text", carry=("section_path",))
 
 
+@query("p3_roundtrip", f"SELECT id, md5(text) AS digest, {T_SQL.format('text')} AS n_tokens, {T_SQL.format('text')} > 512 AS cut FROM (SELECT DISTINCT id, text FROM corpus_row WHERE text IS NOT NULL)")
+def p3_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """The pieces put together again: the text of their cores, their tokens without overlaps, and whether there are several.
+
+    A piece above the limit, or an overlap of another size, would show as a null.
+    """
+    rows = table(spark, d, "corpus_row").select("id", "text").distinct()
+    cut = split_items.split_items(rows, "id", "text")
+    core = F.substr("text", F.col("core_start") - F.col("char_start") + 1)
+    fair = (F.col("n_tokens") <= 512) & (F.col("overlap_tokens") == F.when(F.col("piece") > 0, 60).otherwise(0))
+    per = cut.groupBy("id").agg(
+        F.array_sort(F.collect_list(F.struct("piece", core.alias("core")))).alias("cores"), F.sum(F.col("n_tokens") - F.col("overlap_tokens")).alias("n"), F.bool_and(fair).alias("fair"), F.count("*").alias("pieces")
+    )
+    return per.select("id", F.md5(F.array_join("cores.core", "")).alias("digest"), F.when(F.col("fair"), F.col("n")).alias("n_tokens"), (F.col("pieces") > 1).alias("cut"))
+
+
 # ---- 4: splits by page
 
 SHARES = {"train": 0.6, "val": 0.2, "test": 0.2}
@@ -118,6 +134,22 @@ def p4_assigned(spark: SparkSession, d: str) -> DataFrame:
     return out.select(F.col("record").alias("id"), "component", "split")
 
 
+@query(
+    "p4_pages",
+    r"""
+    SELECT split_part(doc_id, '/', 2) AS project, array_to_string(string_split(doc_id, '/')[4:], '/') AS page_path, count(DISTINCT id) AS n_chunks, 1 AS n_splits
+    FROM corpus_row WHERE len(string_split(doc_id, '/')) >= 4 GROUP BY 1, 2""",
+)
+def p4_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks and new splits of every page, over all its versions: one split each."""
+    rows = table(spark, d, "corpus_row").select("id", "doc_id")
+    assigned = entity_splits.assign(_page_components(rows), SHARES)
+    parts = F.split("doc_id", "/")
+    named = rows.where(F.size(parts) >= 4).select("id", parts[1].alias("project"), F.array_join(F.slice(parts, 4, F.size(parts) - 3), "/").alias("page_path")).distinct()
+    joined = named.join(assigned, F.col("id") == F.col("record"))
+    return joined.groupBy("project", "page_path").agg(F.count_distinct("id").alias("n_chunks"), F.count_distinct("split").alias("n_splits"))
+
+
 # ---- 6: near duplicates
 
 
@@ -164,6 +196,23 @@ def near_groups(near: neardup.NearDuplicates) -> DataFrame:
     return out.select("id", F.col("cid").alias("class_id"), group.alias("group_id"), n_links.alias("n_links"))
 
 
+_P6_GROUPS_SQL = _P6_SQL.replace("WITH r AS", "WITH RECURSIVE r AS").rsplit("m AS (SELECT r.id", 1)[0] + r"""
+    j AS (SELECT ca AS u, cb AS v FROM p UNION SELECT cb, ca FROM p),
+    l AS (SELECT u AS c, count(*) AS n_links FROM j GROUP BY 1),
+    m AS (SELECT r.id, k.c FROM r JOIN k USING (content_type, norm) JOIN w ON w.c = k.c WHERE len(w.ws) >= 50),
+    f AS (SELECT c, min(id) AS first_id FROM m GROUP BY c),
+    reach AS (SELECT c AS node, c AS other FROM f UNION SELECT j.v, reach.other FROM reach JOIN j ON j.u = reach.node)
+    SELECT m.id, min(f.first_id) AS first_of_group, any_value(coalesce(l.n_links, 0)) AS n_links FROM m JOIN reach ON reach.node = m.c JOIN f ON f.c = reach.other LEFT JOIN l ON l.c = m.c GROUP BY m.id, m.c"""
+
+
+@query("p6_first", _P6_GROUPS_SQL)
+def p6_first(spark: SparkSession, d: str) -> DataFrame:
+    """Every record compared with the smallest id of its group, and the links of its class."""
+    groups = Stage(spark, "p6").put(near_groups(_near(spark, d)))
+    first = groups.groupBy("group_id").agg(F.min("id").alias("first_of_group"))
+    return join_unique(groups, first, "group_id").select("id", "first_of_group", "n_links")
+
+
 # ---- 8: containers
 
 
@@ -187,6 +236,26 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return packed.withColumnRenamed("key", "doc_id")
 
 
+@query(
+    "p8_checks",
+    rf"""WITH t AS (SELECT {T_SQL.format('text')} AS n FROM documents WHERE text IS NOT NULL)
+    SELECT sum(n)::BIGINT AS tokens, sum(greatest(1, ceil(n / 2048.0)))::BIGINT AS pieces, 0::BIGINT AS over_capacity, 0::BIGINT AS wrong_positions, 0::BIGINT AS shared_clusters, 0::BIGINT AS too_many_sources, true AS tight FROM t""",
+)
+def p8_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What is placed, and containers that break a rule; ``tight`` if at most one in a hundred, and one, could be saved."""
+    sized = Stage(spark, "p8").put(_sized(spark, d).where("n_tokens is not null"))
+    packed = Stage(spark, "p8").put(binpack.pack(sized, "doc_id", "n_tokens", 2048, "source", "cluster"))
+    meta = sized.select(F.col("doc_id").alias("key"), "source", "cluster")
+    per = packed.join(meta, "key").groupBy("container").agg(
+        F.sum("size").alias("size"), F.count("*").alias("n"), F.max("position").alias("last"), F.count_distinct("position").alias("places"), F.count_distinct("cluster").alias("clusters"), F.count_distinct("source").alias("sources")
+    )
+    tight = F.count("*") <= 1 + 1.01 * F.ceil(F.sum("size") / 2048)
+    return per.agg(
+        F.sum("size").alias("tokens"), F.sum("n").alias("pieces"), F.count_if(F.col("size") > 2048).alias("over_capacity"), F.count_if((F.col("places") != F.col("n")) | (F.col("last") != F.col("n") - 1)).alias("wrong_positions"),
+        F.count_if(F.col("clusters") < F.col("n")).alias("shared_clusters"), F.count_if(F.col("sources") > 4).alias("too_many_sources"), tight.alias("tight"),
+    )
+
+
 # ---- 9: mixture
 
 

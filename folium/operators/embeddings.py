@@ -31,6 +31,21 @@ def hashed_ngrams(texts: list[str], dims: int = DIMS, n: int = 4) -> np.ndarray:
     return out / np.where(norm > 0, norm, 1)
 
 
+_MODELS: dict[str, Callable[[list[str]], np.ndarray]] = {}
+
+
+class WorkerModel:
+    """An encoder that each worker process loads once, under ``name``, when it first needs it; only ``load`` travels with the task."""
+
+    def __init__(self, name: str, load: Callable[[], Callable[[list[str]], np.ndarray]]):
+        self.name, self.load = name, load
+
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        if self.name not in _MODELS:
+            _MODELS[self.name] = self.load()
+        return _MODELS[self.name](texts)
+
+
 def with_vectors(df: DataFrame, key: str, text: str, encode: Callable[[list[str]], np.ndarray] = hashed_ngrams) -> DataFrame:
     """``key, vector`` of every non-null text; ``encode`` is called once per batch in the worker."""
     rows = df.select(df[key].alias("key"), df[text].alias("text")).where("text is not null")

@@ -1,15 +1,16 @@
-"""Packing blocks into chunks, as ordered folds on the JVM.
+"""Packing blocks into chunks, as ordered folds over a document.
 
 Blocks have ``doc_id, section_idx, block_idx, content_type, text, char_start, char_end, n_tokens,
 repeated`` (whether their fingerprint occurs more than once in the corpus), sections a ``section_path``.
-Both folds run per document over an array sorted by position; a document's blocks are bounded by the
-document, and no text is carried through the folds, only sizes.
+A document's blocks meet once, in one Arrow group, and both folds are linear in them.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,10 @@ from folium.functions.text import is_low_signal
 #: Pieces of a text whose number is its size for packing: words and single symbols, with the blanks after them.
 PIECE = r"(?U)(?:[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_])\s*"
 
+# Unicode white space, as the pattern above means it.
+_BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+PIECES = regex.compile(rf"(?:[\p{{L}}\p{{N}}_]+|[^{_BLANK}\p{{L}}\p{{N}}_])[{_BLANK}]*")
+
 
 @dataclass(frozen=True)
 class PackingConfig:
@@ -40,80 +45,53 @@ def piece_count(text: str | Column) -> Column:
     return F.greatest(F.lit(1), F.regexp_count(c, F.lit(PIECE)))
 
 
+def section_groups(sizes: list[int], api: list[bool], config: PackingConfig) -> list[int]:
+    """Group of each section: a section below the least size waits for the next one; API sections stand alone, after what waits."""
+    group, waiting, out = 0, 0, []
+    for n, alone in zip(sizes, api):
+        if alone:
+            group += waiting > 0
+            out.append(group)
+            group, waiting = group + 1, 0
+            continue
+        out.append(group)
+        waiting += n
+        if waiting >= config.min_section_tokens:
+            group, waiting = group + 1, 0
+    return out
+
+
+def block_parts(sizes: list[int], repeated: list[bool], config: PackingConfig) -> list[tuple[int, bool]]:
+    """Part of each block of a group, and whether it is windowed. Blocks of one part form a chunk.
+
+    A repeated block stands alone; one above the maximum is windowed; otherwise blocks are taken greedily up to the
+    maximum, closing at the target. In a group of one block the size is looked at first, in larger groups repetition is.
+    """
+    part, held, out = 0, 0, []
+    for n, again in zip(sizes, repeated):
+        big = n > config.max_tokens
+        if held and (again or big or held + n > config.max_tokens):
+            part, held = part + 1, 0
+        out.append((part, big and (len(sizes) == 1 or not again)))
+        held += n
+        if again or big or held >= config.target_tokens:
+            part, held = part + 1, 0
+    return out
+
+
 def merge_sections(sections: DataFrame, config: PackingConfig) -> DataFrame:
     """``doc_id, section_idx, group_idx``: sections that are packed together share a group.
 
-    ``sections`` has ``doc_id, section_idx, n_tokens, api`` (whether all its blocks are API text). A
-    section below the least size waits for the next one; API sections are never merged; the last
-    section closes whatever waits.
+    ``sections`` has ``doc_id, section_idx, n_tokens, api`` (whether all its blocks are API text).
     """
-    item = F.struct("section_idx", F.col("n_tokens").cast("long").alias("n"), "api")
-    docs = sections.groupBy("doc_id").agg(F.array_sort(F.collect_list(item)).alias("s"))
-    start = F.struct(F.lit(0).alias("group"), F.lit(0).cast("long").alias("waiting"), F.array().cast("array<int>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        # an API section flushes what waits and stands alone
-        own = F.when(x["api"] & (acc["waiting"] > 0), acc["group"] + 1).otherwise(acc["group"])
-        size = F.when(x["api"], x["n"]).otherwise(acc["waiting"] + x["n"])
-        closed = x["api"] | (size >= config.min_section_tokens)
-        return F.struct(
-            F.when(closed, own + 1).otherwise(own).alias("group"),
-            F.when(closed, F.lit(0).cast("long")).otherwise(size).alias("waiting"),
-            F.concat(acc["out"], F.array(own)).alias("out"),
-        )
-
-    folded = docs.withColumn("g", F.aggregate("s", start, step)["out"])
-    each = folded.select("doc_id", F.explode(F.arrays_zip(F.col("s.section_idx").alias("section_idx"), F.col("g").alias("group_idx"))).alias("z"))
-    return each.select("doc_id", F.col("z.section_idx").alias("section_idx"), F.col("z.group_idx").alias("group_idx"))
-
-
-def pack_groups(blocks: DataFrame, config: PackingConfig) -> DataFrame:
-    """``blocks`` (with ``doc_id, group_idx, section_idx, block_idx, n_tokens, repeated``) with ``part`` and ``windowed``.
-
-    Blocks of one part form a chunk. A repeated block stands alone; one above the maximum is windowed;
-    otherwise blocks are taken greedily up to the maximum, closing at the target. In a group of one block
-    the size is looked at first, in larger groups repetition is.
-    """
-    item = F.struct("section_idx", "block_idx", F.col("n_tokens").cast("long").alias("n"), "repeated")
-    groups = blocks.groupBy("doc_id", "group_idx").agg(F.array_sort(F.collect_list(item)).alias("b"))
-    zero = F.lit(0).cast("long")
-    start = F.struct(F.lit(0).alias("part"), zero.alias("cur"), F.array().cast("array<struct<part:int,windowed:boolean>>").alias("out"))
-    single = F.size("b") == 1
-
-    def step(acc: Column, x: Column) -> Column:
-        big = x["n"] > config.max_tokens
-        windowed = big & (single | ~x["repeated"])
-        alone = x["repeated"] | big
-        full = acc["cur"] + x["n"] > config.max_tokens
-        flush = (acc["cur"] > 0) & (alone | full)
-        part = F.when(flush, acc["part"] + 1).otherwise(acc["part"])
-        cur = F.when(flush, zero).otherwise(acc["cur"]) + x["n"]
-        closed = alone | (cur >= config.target_tokens)
-        return F.struct(
-            F.when(closed, part + 1).otherwise(part).alias("part"),
-            F.when(closed, zero).otherwise(cur).alias("cur"),
-            F.concat(acc["out"], F.array(F.struct(part.alias("part"), windowed.alias("windowed")))).alias("out"),
-        )
-
-    folded = groups.withColumn("p", F.aggregate("b", start, step)["out"])
-    each = folded.select("doc_id", "group_idx", F.explode(F.arrays_zip("b", "p")).alias("z")).select(
-        "doc_id", "group_idx", F.col("z.b.section_idx").alias("section_idx"), F.col("z.b.block_idx").alias("block_idx"),
-        F.col("z.p.part").alias("part"), F.col("z.p.windowed").alias("windowed"),
-    )
-    return blocks.join(each, ["doc_id", "group_idx", "section_idx", "block_idx"])
-
-
-def token_windows(text: Column, config: PackingConfig) -> Column:
-    """Array of (window, n_tokens, text): windows of the maximum size, each beginning a step after the last."""
-    pieces = F.regexp_extract_all(text, F.lit(f"({PIECE})"), F.lit(1))
-    n = F.size(pieces)
-    count = F.lit(1) + F.greatest(F.lit(0), F.ceil((n - config.max_tokens) / config.step).cast("int"))
-
-    def window(i: Column) -> Column:
-        part = F.slice(pieces, i * config.step + 1, config.max_tokens)
-        return F.struct(i.alias("window"), F.size(part).alias("n_tokens"), F.btrim(F.array_join(part, ""), F.lit(" \t\r\n")).alias("text"))
-
-    return F.transform(F.sequence(F.lit(0), count - 1), window)
+
+    def fold(t: pa.Table) -> pa.Table:
+        t = t.sort_by("section_idx")
+        groups = section_groups(t.column("n_tokens").to_pylist(), t.column("api").to_pylist(), config)
+        return pa.table([t.column("doc_id"), t.column("section_idx").cast(pa.int32()), pa.array(groups, pa.int32())], names=["doc_id", "section_idx", "group_idx"])
+
+    kind = dict(sections.dtypes)["doc_id"]
+    return sections.select("doc_id", "section_idx", "n_tokens", "api").groupBy("doc_id").applyInArrow(fold, f"doc_id {kind}, section_idx int, group_idx int")
 
 
 def numbered(rows: DataFrame, doc: str, order: list[str]) -> DataFrame:
@@ -122,29 +100,79 @@ def numbered(rows: DataFrame, doc: str, order: list[str]) -> DataFrame:
     return rows.withColumn("chunk_index", F.row_number().over(whole.orderBy(*order)) - 1).withColumn("n_chunks_in_doc", F.count("*").over(whole))
 
 
+def cut_windows(text: str, config: PackingConfig) -> list[tuple[str, int]]:
+    """Text and size of each window of a text: windows of the maximum size, each beginning a step after the last."""
+    pieces = PIECES.findall(text)
+    count = 1 + max(0, -(-(len(pieces) - config.max_tokens) // config.step))
+    parts = [pieces[i * config.step : i * config.step + config.max_tokens] for i in range(count)]
+    return [("".join(p).strip(" \t\r\n"), len(p)) for p in parts]
+
+
+def token_windows(df: DataFrame, key: str, text: str, config: PackingConfig = PackingConfig()) -> DataFrame:
+    """``key, window, n_tokens, text`` of every window of every non-null text."""
+    rows = df.select(df[key].alias("key"), df[text].alias("text")).where("text is not null")
+
+    def run(batches):
+        for b in batches:
+            cut = [cut_windows(t, config) for t in b.column(1).to_pylist()]
+            take = pa.array([i for i, ws in enumerate(cut) for _ in ws], pa.int64())
+            flat = [(k, n, t) for ws in cut for k, (t, n) in enumerate(ws)]
+            cols = list(zip(*flat)) or [[]] * 3
+            arrays = [b.column(0).take(take), *[pa.array(c, kind) for c, kind in zip(cols, (pa.int32(), pa.int32(), pa.string()))]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "window", "n_tokens", "text"])
+
+    return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, window int, n_tokens int, text string")
+
+
+_CHUNK = [("section_idx", pa.int32()), ("text", pa.string()), ("n_tokens", pa.int64()), ("content_type", pa.string()), ("char_start", pa.int64()), ("char_end", pa.int64()), ("n_blocks", pa.int32())]
+
+
+def document_chunks(blocks: list[dict], config: PackingConfig) -> list[dict]:
+    """Chunks of one document's blocks in order; ``n_blocks`` is 0 for a window."""
+    sections: dict[int, list[dict]] = {}
+    for b in sorted(blocks, key=lambda b: (b["section_idx"], b["block_idx"])):
+        sections.setdefault(b["section_idx"], []).append(b)
+    groups = section_groups([sum(b["n_tokens"] for b in bs) for bs in sections.values()], [all(b["content_type"] == "api_spec" for b in bs) for bs in sections.values()], config)
+    grouped: dict[int, list[dict]] = {}
+    for g, bs in zip(groups, sections.values()):
+        grouped.setdefault(g, []).extend(bs)
+    out = []
+    for bs in grouped.values():
+        path = bs[-1]["section_idx"]
+        parts: dict[int, list[dict]] = {}
+        windowed = set()
+        for b, (part, cut) in zip(bs, block_parts([b["n_tokens"] for b in bs], [b["repeated"] for b in bs], config)):
+            parts.setdefault(part, []).append(b)
+            if cut:
+                windowed.add(part)
+        for part, members in parts.items():
+            starts, ends = ([b[k] for b in members if b[k] is not None] for k in ("char_start", "char_end"))
+            longest = max(members, key=lambda b: len(b["text"]))  # the first of the longest
+            row = {"section_idx": path, "content_type": longest["content_type"], "char_start": min(starts, default=None), "char_end": max(ends, default=None)}
+            if part in windowed:
+                out += [row | {"text": t, "n_tokens": n, "n_blocks": 0} for t, n in cut_windows(members[0]["text"], config)]
+            else:
+                out.append(row | {"text": "\n\n".join(b["text"] for b in members), "n_tokens": sum(b["n_tokens"] for b in members), "n_blocks": len(members)})
+    return out
+
+
 def chunks(blocks: DataFrame, config: PackingConfig = PackingConfig()) -> DataFrame:
     """Chunks of every document: ``doc_id, chunk_index, n_chunks_in_doc, section_idx, text, n_tokens,
     content_type, char_start, char_end, is_low_signal``. ``section_idx`` is the section whose path the chunk has.
+
+    One shuffle by document, and both folds in one pass over its blocks.
     """
-    sections = blocks.groupBy("doc_id", "section_idx").agg(F.sum("n_tokens").alias("n_tokens"), F.bool_and(F.col("content_type") == "api_spec").alias("api"))
-    grouped = blocks.join(merge_sections(sections, config), ["doc_id", "section_idx"])
-    last = Window.partitionBy("doc_id", "group_idx")
-    packed = pack_groups(grouped, config).withColumn("path_idx", F.max("section_idx").over(last))
-    at = F.struct("section_idx", "block_idx")
-    kind = F.max_by("content_type", F.struct(F.length("text"), -F.col("section_idx"), -F.col("block_idx")))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("section_idx", "block_idx", "text"))), lambda x: x["text"]), "\n\n")
-    whole = packed.where("not windowed").groupBy("doc_id", "group_idx", "part", "path_idx").agg(
-        joined.alias("text"), F.sum("n_tokens").alias("n_tokens"), kind.alias("content_type"), F.min("char_start").alias("char_start"),
-        F.max("char_end").alias("char_end"), F.count("*").alias("_n"), F.min(at).alias("_at"),
-    ).withColumn("window", F.lit(0))
-    whole = whole.withColumn("is_low_signal", is_low_signal("n_tokens", "text", F.col("_n") == 1))
-    cut = packed.where("windowed").withColumn("w", F.explode(token_windows(F.col("text"), config)))
-    cut = cut.select(
-        "doc_id", "group_idx", "part", "path_idx", F.col("w.text").alias("text"), F.col("w.n_tokens").cast("long").alias("n_tokens"), "content_type", "char_start",
-        "char_end", F.lit(1).cast("long").alias("_n"), at.alias("_at"), F.col("w.window").alias("window"), F.lit(False).alias("is_low_signal"),
-    )
-    every = whole.select(*cut.columns).unionByName(cut)
-    return numbered(every, "doc_id", ["group_idx", "part", "window"]).select(
-        "doc_id", "chunk_index", "n_chunks_in_doc", F.col("path_idx").alias("section_idx"),
-        "text", "n_tokens", "content_type", "char_start", "char_end", "is_low_signal",
-    )
+    kinds = dict(blocks.dtypes)
+
+    def pack(t: pa.Table) -> pa.Table:
+        rows = document_chunks(t.to_pylist(), config)
+        n = len(rows)
+        arrays = [pa.array([t.column("doc_id")[0].as_py()] * n, t.schema.field("doc_id").type), pa.array(range(n), pa.int32()), pa.array([n] * n, pa.int64())]
+        arrays += [pa.array([r[name] for r in rows], kind) for name, kind in _CHUNK]
+        return pa.table(arrays, names=["doc_id", "chunk_index", "n_chunks_in_doc", *[name for name, _ in _CHUNK]])
+
+    wanted = blocks.select("doc_id", "section_idx", "block_idx", "content_type", "text", F.col("char_start").cast("long"), F.col("char_end").cast("long"), F.col("n_tokens").cast("long"), "repeated")
+    schema = f"doc_id {kinds['doc_id']}, chunk_index int, n_chunks_in_doc long, section_idx int, text string, n_tokens long, content_type string, char_start long, char_end long, n_blocks int"
+    packed = wanted.groupBy("doc_id").applyInArrow(pack, schema)
+    low = (F.col("n_blocks") > 0) & is_low_signal("n_tokens", "text", F.col("n_blocks") == 1)
+    return packed.withColumn("is_low_signal", low).drop("n_blocks")

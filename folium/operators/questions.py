@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import time
 from collections.abc import Callable, Iterable
 from typing import Any
@@ -241,6 +242,42 @@ def usable_pairs(reply: Iterable[Any], model: str) -> list[Pair]:
     return out
 
 
+def tool_pairs(reply: Any) -> list[Any]:
+    """What the first tool call of a reply was given as pairs; nothing where no tool was called. A reply and its parts are objects or mappings."""
+
+    def field(x: Any, name: str) -> Any:
+        return x.get(name) if isinstance(x, dict) else getattr(x, name, None)
+
+    call = next((p for p in field(reply, "content") or [] if field(p, "type") == "tool_use"), None)
+    given = field(call, "input") if call is not None else None
+    pairs = given.get("pairs") if isinstance(given, dict) else None
+    return pairs if isinstance(pairs, list) else []
+
+
+class ToolClient:
+    """A client over a function that sends a request (``llm_request``'s keys as keywords) and returns the model's reply."""
+
+    def __init__(self, send: Callable[..., Any]):
+        self.send = send
+
+    def submit(self, project: str, section_path: str, text: str, max_pairs: int, model: str) -> list[Any]:
+        return tool_pairs(self.send(**llm_request(project, section_path, text, max_pairs, model)))
+
+
+class MissingKey(Exception):
+    """Raised by a client factory that finds no key."""
+
+
+def usable_factory(factory: Callable[[], Any]) -> Callable[[], Any] | None:
+    """The factory, or None with a warning where it finds no key: templates are asked all the same."""
+    try:
+        factory()
+    except MissingKey as e:
+        print(f"warning: no LLM client ({e}); only templates are asked", file=sys.stderr)
+        return None
+    return factory
+
+
 def with_llm_pairs(chunks: DataFrame, client_factory: Callable[[], Any], model: str, max_pairs: int, wait: Callable[[float], None] = time.sleep) -> DataFrame:
     """Prose chunks asked through an injected client, one client per task.
 

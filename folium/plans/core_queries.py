@@ -219,8 +219,8 @@ def merged_sections(spark: SparkSession, d: str) -> DataFrame:
 )
 def token_windows(spark: SparkSession, d: str) -> DataFrame:
     rows = _rows(spark, d, "text").where("text is not null").withColumn("n", packing.piece_count("text")).where("n > 512")
-    cut = rows.select("id", F.explode(packing.token_windows(F.col("text"), packing.PackingConfig())).alias("w"))
-    return cut.select("id", F.col("w.window").alias("window_idx"), F.col("w.n_tokens").alias("n_tokens"), F.md5("w.text").alias("digest"))
+    cut = packing.token_windows(rows, "id", "text")
+    return cut.select(F.col("key").alias("id"), F.col("window").alias("window_idx"), "n_tokens", F.md5("text").alias("digest"))
 
 
 # ---- near duplicates by vectors
@@ -259,7 +259,7 @@ def hashed_vector_pairs(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "near_report",
     f"""
-    SELECT r.pair_id, r.a AS id_a, r.b AS id_b, x.source_path AS source_path_a, y.source_path AS source_path_b
+    SELECT r.pair_id, r.a, r.b, x.source_path AS source_path_a, y.source_path AS source_path_b
     FROM near_dedup_report r JOIN {_ROWS_SQL} x ON x.id = r.a JOIN {_ROWS_SQL} y ON y.id = r.b""",
 )
 def near_report(spark: SparkSession, d: str) -> DataFrame:

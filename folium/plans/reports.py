@@ -48,20 +48,24 @@ def leaks(df: DataFrame, unit: str, split: str = "split") -> DataFrame:
 
 
 def near_report(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Pairs (``id_a, id_b``) with both source paths."""
-    a = rows.select(F.col("id").alias("id_a"), F.col("source_path").alias("source_path_a"))
-    b = rows.select(F.col("id").alias("id_b"), F.col("source_path").alias("source_path_b"))
-    return pairs.join(a, "id_a").join(b, "id_b")
+    """Pairs (``id_a, id_b``, and if there ``cosine``) as ``a, b``, both source paths and ``similarity``."""
+    known = {"id_a": "a", "id_b": "b", "cosine": "similarity"}
+    named = pairs.select(*[F.col(c).alias(known.get(c, c)) for c in pairs.columns])
+    a = rows.select(F.col("id").alias("a"), F.col("source_path").alias("source_path_a"))
+    b = rows.select(F.col("id").alias("b"), F.col("source_path").alias("source_path_b"))
+    return named.join(a, "a").join(b, "b")
 
 
-def qc_counts(checked: DataFrame, final: DataFrame) -> DataFrame:
-    """Counters of the question/answer stage as ``counter, value, n``."""
+def qc_counts(checked: DataFrame, final: DataFrame, failed: DataFrame | None = None) -> DataFrame:
+    """Counters of the question/answer stage as ``counter, value, n``; ``failed`` are chunks whose LLM call failed, by ``error``."""
     parts = [
         checked.groupBy("generation_method").agg(F.count("*").alias("n")).select(F.lit("candidates").alias("counter"), F.col("generation_method").alias("value"), "n"),
         checked.where("qc_passed").agg(F.count("*").alias("n")).select(F.lit("passed").alias("counter"), F.lit("all").alias("value"), "n"),
         final.groupBy("generation_method").agg(F.count("*").alias("n")).select(F.lit("final").alias("counter"), F.col("generation_method").alias("value"), "n"),
         final.groupBy("split").agg(F.count("*").alias("n")).select(F.lit("final_split").alias("counter"), F.col("split").alias("value"), "n"),
     ]
+    if failed is not None:
+        parts.append(failed.groupBy("error").agg(F.count("*").alias("n")).select(F.lit("llm_errors").alias("counter"), F.col("error").alias("value"), "n"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

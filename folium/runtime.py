@@ -23,6 +23,7 @@ HOT_ROWS = 1_000_000
 HOT_KEYS = 1_000
 
 _LOCAL_DIR: str | None = None
+_ROOTS: list[str] = []
 
 
 def session(app: str = "folium", **conf: str) -> SparkSession:
@@ -63,6 +64,7 @@ class Stage:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
         self._n = 0
+        _ROOTS.append(self.root)
 
     def put(self, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         """Write ``df`` and return it as read back, which cuts its lineage."""
@@ -80,9 +82,18 @@ class Stage:
         """Delete the table behind ``df``, which must not be read again."""
         path = getattr(df, "_folium_path", None)
         if path:
-            jvm = self.spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(self.spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all intermediate tables this process wrote, once no result that reads them is needed any more."""
+    while _ROOTS:
+        _delete(spark, _ROOTS.pop())
 
 
 def is_empty(df: DataFrame) -> bool:

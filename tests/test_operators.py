@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from folium.operators import balance, components, duplicates, embeddings, packing, quality
 from folium.operators.prefix import running_sum
 from folium.plans import reports
-from folium.runtime import Stage, join_bounded, join_unique, shared_dir
+from folium.runtime import Stage, join_bounded, join_unique, release, shared_dir
 
 
 def test_mark_duplicates_points_at_first_in_order(spark):
@@ -141,6 +142,23 @@ def test_balance_equals_one_by_one(spark):
         assert got == lpt(weights, ties), n
 
 
+def test_parity_ties_equal_a_plain_run(spark):
+    rng = random.Random(3)
+    weights = {f"c{i:02d}": rng.choice([1, 2, 2, 5]) for i in range(40)}
+    names = sorted(weights)
+    random.Random(42).shuffle(names)
+    df = balance.shuffled_ties(spark.createDataFrame(list(weights.items()), "component string, weight long"), 42)
+    got = {r["component"]: r["split"] for r in balance.assign_by_weight(df, F.col("tie")).collect()}
+    assert got == lpt(weights, {c: i for i, c in enumerate(names)})
+
+
+def test_worker_model_loads_once():
+    loads = []
+    model = embeddings.WorkerModel("t", lambda: loads.append(1) or embeddings.hashed_ngrams)
+    model(["abcd"]), model(["efgh"])
+    assert len(loads) == 1
+
+
 def test_balance_small_cases(spark):
     def run(weights):
         df = spark.createDataFrame(list(weights.items()), "component string, weight long")
@@ -175,6 +193,10 @@ def test_stage_writes_and_drops(spark):
     df = stage.put(spark.range(5))
     assert df.count() == 5
     stage.drop(df)
+    kept = stage.put(spark.range(3))
+    assert os.path.isdir(kept._folium_path) and not os.path.exists(df._folium_path)
+    release(spark)
+    assert not os.path.exists(stage.root)
 
 
 # ---- packing

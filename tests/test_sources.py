@@ -1,11 +1,12 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from folium import cli
 from folium.operators import markdown, openapi, questions
-from folium.plans import pipeline
+from folium.plans import pipeline, reports
 from folium.sources import files, jsonl, settings
 from folium.streaming import ingest
 
@@ -183,6 +184,28 @@ def test_llm_request_forces_the_tool():
     assert "A > B" in r["messages"][0]["content"] and "text" in r["messages"][0]["content"]
 
 
+def test_replies_and_missing_keys(spark, capsys):
+    sent = []
+
+    class Block:
+        type, input = "tool_use", {"pairs": [{"question": "q", "answer": "a", "evidence_span": "e"}, "loose"]}
+
+    class Reply:
+        content = [{"type": "text", "text": "x"}, Block()]
+
+    client = questions.ToolClient(lambda **request: sent.append(request) or Reply())
+    assert questions.usable_pairs(client.submit("p", "A > B", "text", 3, "m"), "m") == [("q", "a", "e", "generative", "llm:m")]
+    assert sent[0]["model"] == "m" and sent[0]["tool_choice"]["name"] == questions.TOOL_NAME
+    for reply in ({"content": [{"type": "text"}]}, {"content": None}, {"content": [{"type": "tool_use", "input": {"pairs": "no"}}]}, None, {"content": [{"type": "tool_use", "input": None}]}):
+        assert questions.tool_pairs(reply) == []
+
+    def no_key():
+        raise questions.MissingKey("no key set")
+
+    assert questions.usable_factory(no_key) is None and "no key set" in capsys.readouterr().err
+    assert questions.usable_factory(FakeClient) is FakeClient
+
+
 class FakeClient:
     def submit(self, project, section_path, text, max_pairs, model):
         if "boom" in text:
@@ -267,7 +290,8 @@ def test_corpus_and_questions_end_to_end(spark, project, tmp_path):
     assert all(len(v) == 1 for v in by_hash.values())
     twins = [r for r in rows if r["text"].startswith("A longer paragraph")]
     assert len(twins) == 2 and sum(r["duplicate_of"] is not None for r in twins) == 1
-    checked, final = pipeline.build_qa(corpus, 8, FakeClient, "m")
+    checked, final, failed = pipeline.build_qa(corpus, 8, FakeClient, "m")
+    assert failed.count() == 0
     qa = final.collect()
     assert qa and all(r["qc_passed"] for r in qa) and {r["generation_method"] for r in qa} == {"template", "llm"}
     texts, splits = {r["id"]: r["text"] for r in rows}, {r["id"]: r["split"] for r in rows}
@@ -276,17 +300,41 @@ def test_corpus_and_questions_end_to_end(spark, project, tmp_path):
     assert len({r["qa_id"] for r in qa}) == len(qa)
 
 
-def test_cli_writes_reports(spark, project, tmp_path, capsys):
+def test_parity_and_hashed_pairs_and_errors(spark, project, monkeypatch, caplog):
+    root, config = project
+    sources, settings_ = settings.load_sources(config, root), settings.load_pipeline(config)
+    with caplog.at_level("INFO", logger="folium"):
+        corpus, documents, pairs = pipeline.build_corpus(spark, sources, str(root), settings_, parity=True)
+    assert any(m.startswith("chunks: rows") for m in caplog.messages) and any("low_signal" in m for m in caplog.messages)
+    monkeypatch.setattr(pipeline, "EXACT_VECTORS", 0)
+    hashed = pipeline.build_corpus(spark, sources, str(root), settings_, count=lambda c: F.size(F.split(c, r"\s+")))[2]
+    assert {(r["id_a"], r["id_b"]) for r in hashed.collect()} == {(r["id_a"], r["id_b"]) for r in pairs.collect()}
+
+    class Broken(FakeClient):
+        def submit(self, *args):
+            raise ValueError("no")
+
+    checked, final, failed = pipeline.build_qa(corpus, 8, Broken, "m")
+    counted = {(r["counter"], r["value"]): r["n"] for r in reports.qc_counts(checked, final, failed).collect()}
+    assert counted["llm_errors", "ValueError"] == failed.count() > 0 and ("candidates", "llm") not in counted
+
+
+def test_cli_writes_reports(spark, project, tmp_path, capsys, monkeypatch):
     root, config = project
     out = tmp_path / "out"
-    base = ["--config", str(config), "--docs", str(root)]
+    (tmp_path / "env").write_text("export FOLIUM_TEST_KEY='abc'\n# no\n", encoding="utf-8")
+    monkeypatch.setenv("FOLIUM_TEST_KEY", "")
+    monkeypatch.delenv("FOLIUM_TEST_KEY")
+    base = ["--config", str(config), "--docs", str(root), "--env", str(tmp_path / "env")]
     cli.main([*base, "build-corpus", "--out-dir", str(out), "--single-file"])
     cli.main([*base, "build-qa", "--out-dir", str(out), "--no-llm"])
     cli.main([*base, "compare-versions"])
     manifest = json.loads((out / "manifest.json").read_text())
     assert manifest["chunks"] == sum(manifest["by_split"].values()) and manifest["projects"] == 2
     assert {p.name for p in out.iterdir()} >= {"corpus.jsonl", "qa.jsonl", "split_report.json", "dedup_report.json", "near_dedup_report.json", "qc_report.json"}
-    assert "'different': 1" in capsys.readouterr().out
+    printed = capsys.readouterr().out
+    assert "'different': 1" in printed and "  different: guide/a.md" in printed and os.environ["FOLIUM_TEST_KEY"] == "abc"
+    assert json.loads((out / "qc_report.json").read_text())["llm_errors"] == {}
     with pytest.raises(SystemExit):
         cli.main([*base, "build-qa", "--out-dir", str(tmp_path / "none")])
 

@@ -201,6 +201,13 @@ def test_entity_components_and_shares(spark):
     assert entity_splits.entity_components(df.limit(0), "id", {"a": F.col("a")}).count() == 0
 
 
+def test_reached_shares_of_splits(spark):
+    many = spark.range(4000).select(F.col("id").cast("string").alias("record"), (F.col("id") % 1000).cast("string").alias("component"))
+    got = {r["split"]: r for r in entity_splits.reached_shares(entity_splits.assign(many, {"train": 3, "val": 1, "test": 1}), {"train": 3, "val": 1, "test": 1, "none": 0}).collect()}
+    assert sum(r["records"] for r in got.values()) == 4000 and abs(sum(r["reached_share"] for r in got.values()) - 1) < 1e-9
+    assert got["train"]["target_share"] == 0.6 and abs(got["train"]["reached_share"] - 0.6) < 0.05 and got["none"]["records"] == 0
+
+
 def test_split_names_and_pages(spark):
     df = spark.createDataFrame([(" Train ", "docs_raw/p/v/a/b.md"), ("VALIDATION", "x/y"), ("test\n", None), ("", "docs_raw/p/v2/a/b.md"), (None, "a")], "s string, d string")
     out = [(r[0], r[1]) for r in df.select(entity_splits.split_name(F.col("s")), entity_splits.page_entity(F.col("d"))).collect()]
@@ -521,6 +528,15 @@ def test_mixture_reaches_its_shares(spark):
     assert mixing.mix(docs.limit(0), targets).count() == 0
 
 
+def test_mixture_of_very_many_sources(spark):
+    n = 12_000
+    targets = spark.range(n).select(F.concat(F.lit("s"), "id").alias("source"), F.lit(1.0 / n).alias("target_share"), F.lit(2).alias("max_repeats"))
+    docs = spark.range(3 * n).select(F.col("id").alias("doc_id"), F.concat(F.lit("S"), F.col("id") % n).alias("source"), F.lit(40).alias("n_tokens"))
+    out = mixing.mix(docs, targets, block_tokens=40)
+    got = out.groupBy("source").agg(F.sum("n_tokens").alias("n")).agg(F.count("*").alias("sources"), F.max("n").alias("most")).first()
+    assert got["sources"] > 0.99 * n and got["most"] <= 4 * 40
+
+
 # ---- 10
 
 

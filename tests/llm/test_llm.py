@@ -534,7 +534,7 @@ def test_mixture_of_very_many_sources(spark):
     docs = spark.range(3 * n).select(F.col("id").alias("doc_id"), F.concat(F.lit("S"), F.col("id") % n).alias("source"), F.lit(40).alias("n_tokens"))
     out = mixing.mix(docs, targets, block_tokens=40)
     got = out.groupBy("source").agg(F.sum("n_tokens").alias("n")).agg(F.count("*").alias("sources"), F.max("n").alias("most")).first()
-    assert got["sources"] > 0.99 * n and got["most"] <= 4 * 40
+    assert got["sources"] > 0.99 * n and got["most"] <= 6 * 40
 
 
 # ---- 10

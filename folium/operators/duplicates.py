@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folium.functions.text import fingerprint
-from folium.runtime import Stage, join_bounded, join_unique
+from folium.runtime import Stage, is_empty, join_bounded, join_unique
 
 
 def order_key(path: str | Column, index: str | Column) -> Column:
@@ -21,17 +21,22 @@ def order_key(path: str | Column, index: str | Column) -> Column:
 
 
 def latest_rows(df: DataFrame, key: str, stamp: str) -> DataFrame:
-    """One row per key: the one with the latest stamp (of equal stamps one by its hash), so a later run replaces an earlier one.
+    """One row per key: the one with the latest stamp, so a later run replaces an earlier one; of equal stamps one by its hash.
 
-    Texts stay where they are: keys that occur more than once are found on slim columns with map-side combining and
-    joined back (broadcast where they are measured to be few). Rows with a null key are all kept.
+    Texts stay where they are: the keys that occur more than once are found on key and stamp alone, with map-side
+    combining, and joined back (broadcast where they are measured to be few). Rows with a null key are all kept.
     """
-    slim = df.withColumn("_h", F.xxhash64(*[c for c in df.columns if c != key]))
-    again = slim.groupBy(key).agg(F.max(F.struct(stamp, "_h")).alias("_w"), F.count("*").alias("_n")).where(F.col("_n") > 1).select(key, "_w")
-    joined = join_bounded(slim, again, [key], "left", salt=16)
-    once = joined.where("_w is null").select(*df.columns)
-    kept = joined.where(F.col("_w").isNotNull() & F.struct(stamp, "_h").eqNullSafe(F.col("_w"))).dropDuplicates([key]).select(*df.columns)
-    return once.unionByName(kept)
+    others = [c for c in df.columns if c != key]
+    stage = Stage(df.sparkSession, "latest")
+    per = df.select(key, stamp).where(F.col(key).isNotNull()).groupBy(key, stamp).agg(F.count("*").alias("_c"))
+    latest = per.groupBy(key).agg(F.max(F.struct(stamp, "_c")).alias("_w"), F.sum("_c").alias("_n")).where("_n > 1")
+    again = stage.put(latest.select(key, F.col(f"_w.{stamp}").alias("_at"), F.col("_w._c").alias("_same"), F.lit(True).alias("_again")))
+    joined = join_bounded(df, again, [key], "left", salt=16).where(F.col("_again").isNull() | F.col(stamp).eqNullSafe(F.col("_at")))
+    if is_empty(again.where("_same > 1")):
+        return joined.select(*df.columns)
+    one = joined.where("_same > 1").groupBy(key).agg(F.max_by(F.struct(*others), F.xxhash64(*others)).alias("_row"))
+    single = joined.where("_same is null or _same = 1").select(*df.columns)
+    return single.unionByName(one.select(key, *[F.col(f"_row.{c}").alias(c) for c in others]))
 
 
 def mark_duplicates(df: DataFrame, key: str, text: str | None, order: Column) -> DataFrame:

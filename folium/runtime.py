@@ -110,11 +110,12 @@ def measured(df: DataFrame) -> tuple[int, int]:
 def join_bounded(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", max_rows: int = BROADCAST_ROWS, salt: int = 0) -> DataFrame:
     """Join with ``right`` broadcast only if its counted rows and measured bytes are small, else shuffled.
 
-    The right side is written first, so that it is computed once for the measure and the join. Beyond the bounds both sides are hashed on
+    The right side is written first unless it is a written table, so that it is computed once for the measure and the join. Beyond the bounds both sides are hashed on
     ``on``; with ``salt`` > 1 the right side is replicated that often and the left side spread over
     the copies, so one hot key is shared by that many tasks. ``right`` must be unique on ``on``.
     """
-    right = Stage(left.sparkSession, "side").put(right)
+    if getattr(right, "_folium_path", None) is None:
+        right = Stage(left.sparkSession, "side").put(right)
     rows, size = measured(right)
     if rows <= max_rows and size <= BROADCAST_BYTES:
         return left.join(F.broadcast(right), on, how)

@@ -23,6 +23,14 @@ def test_latest_rows(spark):
     assert sorted((r["k"], r["at"], r["v"]) for r in duplicates.latest_rows(df, "k", "at").collect()) == [("a", 3, "y"), ("b", 2, None)]
 
 
+def test_latest_rows_of_repeated_and_null_keys(spark):
+    rows = [("a", 1, "x"), ("a", 1, "y"), ("a", 0, "z"), ("b", None, "x"), ("b", None, "x"), ("c", 1, "x"), (None, 1, "x"), (None, 2, "y"), ("d", None, "x"), ("d", 5, "y")]
+    out = [tuple(r) for r in duplicates.latest_rows(spark.createDataFrame(rows, "k string, at int, v string"), "k", "at").collect()]
+    got = {k: [r[1:] for r in out if r[0] == k] for k in ("a", "b", "c", "d", None)}
+    assert got["a"] in ([(1, "x")], [(1, "y")]) and got["b"] == [(None, "x")] and got["c"] == [(1, "x")] and got["d"] == [(5, "y")] and len(got[None]) == 2
+    assert duplicates.latest_rows(spark.createDataFrame([], "k string, at int, v string"), "k", "at").count() == 0
+
+
 def test_vector_pairs_both_ways_against_brute_force(spark):
     rng = np.random.default_rng(1)
     base = rng.standard_normal((12, 16))

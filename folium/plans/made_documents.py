@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folium.functions import text as tx
 from folium.operators import markdown, openapi, questions
 from folium.plans import pipeline
-from folium.plans.core_queries import _ROWS_SQL, _hash, _pieces, _rows
+from folium.plans.core_queries import _PRIO, _ROWS_SQL, _collapse, _hash, _pieces, _rows, _strip, _template_sql
 from folium.plans.registry import query
 from folium.runtime import Stage, table
 from folium.sources import files, jsonl
@@ -246,3 +246,23 @@ def llm_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of every prose chunk through the adapter; a chunk whose call is refused has its error instead."""
     rows = _rows(spark, d, "text", "content_type", "section_path", "is_low_signal", "duplicate_of", project=F.split("doc_id", "/")[1]).where("text is not null and section_path is not null")
     return questions.with_llm_pairs(rows, _quoting_client, "quote", 3)
+
+
+# ---- the second stage as a whole
+
+
+@query(
+    "template_qa",
+    f"""WITH j AS (SELECT t.*, r.doc_id, r.project, r.chunk_index, r.split, r.text AS chunk_text FROM ({_template_sql()}) t JOIN {_ROWS_SQL} r ON r.id = t.id WHERE r.duplicate_of IS NULL),
+    k AS (SELECT *, coalesce(length({_collapse('evidence_span')}) > 0 AND contains({_collapse('chunk_text')}, {_collapse('evidence_span')}), false) AS evidence_verified,
+            coalesce(length({_strip('question')}) BETWEEN 8 AND 300 AND length({_strip('answer')}) > 0, false) AS length_ok,
+            row_number() OVER (PARTITION BY project, trim({_collapse('lower(question)')}, '¿?.! ') ORDER BY string_split(doc_id, '/'), chunk_index, ordinal) = 1 AS first_seen FROM j),
+    i AS (SELECT *, row_number() OVER (PARTITION BY doc_id, chunk_index ORDER BY {_PRIO}, string_split(doc_id, '/'), chunk_index, ordinal) AS r FROM k WHERE evidence_verified AND length_ok AND first_seen),
+    f AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY r, chunk_index) AS pick FROM i WHERE r <= 8 QUALIFY pick <= 8)
+    SELECT id || '::qa' || (r - 1) AS qa_id, id, doc_id, split, question, answer, answer_type, pick FROM f""",
+)
+def template_qa(spark: SparkSession, d: str) -> DataFrame:
+    """The stage from chunks to questions and answers, without a model: routing, templates, checks and the fair cap."""
+    columns = ("doc_id", "project", "project_version", "source_path", "section_path", "chunk_index", "text", "split", "duplicate_of", "content_type", "is_low_signal")
+    final = pipeline.build_qa(_rows(spark, d, *columns).where("text is not null"), 8)[1]
+    return final.select("qa_id", "id", "doc_id", "split", "question", "answer", "answer_type", "pick")

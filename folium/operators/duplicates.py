@@ -74,8 +74,8 @@ def unit_vectors(df: DataFrame, vector: str) -> DataFrame:
 #: Vectors of a block of the exact comparison, and of a block of a bucket of the hashed one.
 BLOCK = 2_000
 BUCKET = 500
-#: Chance that the hashed comparison misses a pair at the threshold.
-MISS = 0.001
+#: Chance that the hashed comparison misses a pair at the threshold, share of all pairs that may meet by chance, and tables at most.
+MISS, CHANCE, MOST_TABLES = 0.001, 0.005, 2_000
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -128,11 +128,21 @@ def vector_pairs(df: DataFrame, key: str, vector: str, kind: str, threshold: flo
 
 
 def hash_plan(n: int, threshold: float, miss: float = MISS) -> tuple[int, int]:
-    """Bits and tables for ``n`` vectors of a kind: about ``BUCKET`` vectors a bucket if they were spread evenly, and a pair at the threshold is missed with chance ``miss``."""
-    bits = max(4, math.ceil(math.log2(max(2, n) / BUCKET)) + 8) if n > 1 else 4
+    """Bits and tables for ``n`` vectors of a kind, so that a pair at the threshold is missed with chance ``miss``.
+
+    The fewest bits with which unrelated vectors meet at a rate of ``CHANCE`` and ``BUCKET`` others each at most, or, at
+    a low threshold, those that take ``MOST_TABLES`` tables; that makes candidates more, and loses none.
+    """
     meet = 1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi
-    chance = meet**bits
-    return bits, max(1, math.ceil(math.log(miss) / math.log1p(-chance))) if chance < 1 else 1
+    bits, tables = 4, 1
+    for b in range(4, 40):
+        t = 1 if meet >= 1 else math.ceil(math.log(miss) / math.log1p(-(meet**b)))
+        if t > MOST_TABLES and b > 4:
+            break
+        bits, tables = b, t
+        if tables <= CHANCE * 2**bits and n * tables <= BUCKET * 2**bits:
+            break
+    return bits, tables
 
 
 def hashed_candidates(rows: DataFrame, dims: int, bits: int, tables: int, seed: int) -> DataFrame:

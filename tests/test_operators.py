@@ -54,7 +54,7 @@ def test_hashed_candidates_are_few_and_split(spark, monkeypatch):
     df = spark.createDataFrame([(i, [float(x) for x in v], "k") for i, v in enumerate(vectors)], "id long, v array<double>, kind string")
     bits, tables = duplicates.hash_plan(len(vectors), 0.9)
     met = duplicates.hashed_candidates(df, 32, bits, tables, 3)
-    assert met.count() < 0.06 * len(vectors) ** 2 / 2
+    assert met.count() < 0.012 * len(vectors) ** 2 / 2  # vectors of so few dimensions meet more often than by chance
     monkeypatch.setattr(duplicates, "BUCKET", 3)  # buckets in blocks give the same candidates
     assert duplicates.hashed_candidates(df, 32, 6, 2, 3).exceptAll(duplicates.hashed_candidates(df, 32, 6, 2, 3)).count() == 0
     split = {(r["x"], r["y"]) for r in duplicates.hashed_candidates(df.where("id < 300"), 32, 6, 2, 3).collect()}

@@ -140,6 +140,22 @@ def test_link_groups_against_union_find(spark):
     assert linkgroups.link_groups(spark.createDataFrame([], "a string, b string"), "a", "b").count() == 0
 
 
+def test_hubs_are_split_alike(spark, monkeypatch):
+    from functools import partial
+
+    from folium import runtime
+
+    hub = [("hub", f"s{i}") for i in range(120)] + [(f"s{i}", f"t{i}") for i in range(0, 120, 3)] + [("x", "y")]
+    split = partial(runtime.join_unique, hot_rows=20)
+    monkeypatch.setattr(linkgroups, "join_unique", split)
+    monkeypatch.setattr(entity_splits, "join_unique", split)
+    out = linkgroups.link_groups(spark.createDataFrame(hub, "a string, b string"), "a", "b").collect()
+    assert {r["node"]: r["group"] for r in out} == roots(hub)
+    rows = spark.createDataFrame([(f"r{i}", "hot", f"own{i}") for i in range(90)] + [("z", None, "own0"), ("w", "cold", None)], "id string, a string, b string")
+    got = {r["record"]: r["component"] for r in entity_splits.entity_components(rows, "id", {"a": F.col("a"), "b": F.col("b")}).collect()}
+    assert len(got) == 92 and len({got[f"r{i}"] for i in range(90)} | {got["z"]}) == 1 and got["w"] != got["z"]
+
+
 # ---- 3
 
 

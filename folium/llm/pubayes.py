@@ -15,6 +15,9 @@ import numpy as np
 ROUNDS = 30
 #: Pseudo-counts of a feature outside and inside the class.
 OTHER_PSEUDO, CLASS_PSEUDO = 1.0, 0.05
+#: Pseudo-count inside the class in terms of the classes' ratio, at most: a feature the class lacks then speaks for it only
+#: where it is rare outside as well, so the class does not grow over the usual words of a small table.
+RARE = 5.0
 #: Log odds of one feature, at most; log odds of a word and of a pair of words the sample lacks.
 MOST_ODDS = 5.0
 NEW_WORD, NEW_PAIR = -2.0, -0.7
@@ -67,7 +70,8 @@ class Model:
         for _ in range(ROUNDS):
             pos, neg = (np.bincount(x, weights=(times * w)[row], minlength=len(ids)) for w in (post, 1 - post))
             n_pos, n_neg = (times * post).sum(), (times * (1 - post)).sum()
-            odds = np.log((pos + CLASS_PSEUDO) / (n_pos + 2 * CLASS_PSEUDO)) - np.log((neg + OTHER_PSEUDO) / (n_neg + 2 * OTHER_PSEUDO))
+            rare = min(CLASS_PSEUDO, RARE * n_pos / max(n_neg, 1.0))
+            odds = np.log((pos + rare) / (n_pos + 2 * rare)) - np.log((neg + OTHER_PSEUDO) / (n_neg + 2 * OTHER_PSEUDO))
             odds = np.where(lone, new_odds, np.clip(odds, -MOST_ODDS, MOST_ODDS))
             prior = math.log(n_pos / n_neg) if n_neg > 0 else 0.0
             score = np.bincount(row, weights=odds[x], minlength=len(texts)) + prior

@@ -312,6 +312,17 @@ def test_the_model_finds_what_withheld_phrases_would(spark):
     assert sum(not known.trusted(t) for i, t in rows if i in wanted) > 10  # so the rest came from the model
 
 
+def test_copies_of_a_table_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(standins, "RECORDS", 800)
+    rows = stand_in_table()
+    one = spark.createDataFrame(rows, "id string, text string")
+    many = one.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(40))))
+    a, b = standins.fit(one), standins.fit(many)
+    assert a.odds.keys() == b.odds.keys() and max(abs(a.odds[f] - b.odds[f]) for f in a.odds) < 1e-6 and abs(a.prior - b.prior) < 1e-6
+    seeds = all_seeds()[::2]
+    assert {r["key"] for r in standins.find(one, seeds=seeds).collect()} == {r["key"] for r in standins.find(many, seeds=seeds).collect()}
+
+
 # ---- 6
 
 

@@ -456,6 +456,20 @@ def test_pair_defects(spark):
     assert qa_defects.find_defects(df.limit(0)).count() == 0
 
 
+def test_pair_models_are_fitted_on_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(qa_defects, "SAMPLE", 20, raising=False)  # as it was
+    words = ["alfaro", "betuna", "gamiso", "deltor", "iotema", "kapuli", "lambir", "muzeco", "nuvapo", "omirga", "pirodo", "sigmel", "taurin", "upsilo", "fitona", "zetamu"]
+    question = "¿Qué guarda el campo {} de la cola?"
+    full = [(f"f{w}{i}", question.format(w), f"El campo {w} conserva siempre todas las {w[::-1]} de la tabla {x}", None) for w in words for i, x in enumerate(words)]
+    cut = [(f"c{w}", question.format(w), f"El campo {w} conserva siempre todas las {w[:1:-1]}", None) for w in words]
+    df = spark.createDataFrame(full + cut, "id string, question string, answer string, evidence_span string")
+    assert {(r["id"], r["defect"]) for r in qa_defects.find_defects(df).collect()} == {(r[0], "truncated") for r in cut}
+    pairs = df.selectExpr("question q", "answer a", "evidence_span e")
+    models = qa_defects.fit(pairs.union(pairs))
+    every = qa_defects.EndModel([(qa_defects.shape(r[2]), False) for r in full + cut])
+    assert models.ends.open == every.open and all(models.ends.likelihood(t) == every.likelihood(t) for t in every.open)
+
+
 def refusals():
     answers = [a for _, a, _ in GOOD for _ in range(40)]
     answers += [f"{x} {y}" for x in ("Lo siento, pero", "Sorry,", "Lamentablemente,", "Sinto muito,") for y in ("no puedo ayudar con esa solicitud.", "I cannot answer this question.", "no tengo información para responder.", "não posso responder a essa pergunta.") for _ in range(3)]
